@@ -134,4 +134,4 @@ def oracle(names: list[str], body: str, ctes: str = "") -> str:
     parts = [f"{n} AS ({FIXTURES[n][2] or FIXTURES[n][1]})" for n in closure(names)]
     if ctes:
         parts.append(ctes.strip())
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body.strip()
+    return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body.strip()

@@ -19,10 +19,20 @@ class Box(NamedTuple):
     y1: Column
 
 
-def box(alias: str = "", suffix: str = "") -> Box:
-    """Columns ``x0 y0 x1 y1`` of the DataFrame alias, with an optional name suffix."""
-    dot = f"{alias}." if alias else ""
-    return Box(*(F.col(f"{dot}{c}{suffix}") for c in ("x0", "y0", "x1", "y1")))
+class NamedBox:
+    """Box over columns of a DataFrame alias; columns are built on use, so it may live at module level."""
+
+    def __init__(self, alias: str = ""):
+        self.prefix = f"{alias}." if alias else ""
+
+    x0 = property(lambda self: F.col(f"{self.prefix}x0"))
+    y0 = property(lambda self: F.col(f"{self.prefix}y0"))
+    x1 = property(lambda self: F.col(f"{self.prefix}x1"))
+    y1 = property(lambda self: F.col(f"{self.prefix}y1"))
+
+
+def box(alias: str = "") -> NamedBox:
+    return NamedBox(alias)
 
 
 def width(a: Box) -> Column:
@@ -42,6 +52,24 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
 
 
+def round_exact(value: Column, digits: int) -> Column:
+    """Round the binary value itself, ties to even, as IEEE-based languages print it.
+
+    SQL rounding works on the shortest decimal form, so 0.5075 (just below the tie in binary) would
+    go up. The product with 10^digits is split into its rounded part and the exact remainder, which
+    decides apparent ties.
+    """
+    scale = float(10 ** digits)
+    product = value * F.lit(scale)
+    split = value * F.lit(134217729.0)
+    high = split - (split - value)
+    rest = (high * F.lit(scale) - product) + (value - high) * F.lit(scale)
+    whole = F.floor(product)
+    past = product - whole - F.lit(0.5)
+    up = (past > 0) | ((past == 0) & ((rest > 0) | ((rest == 0) & (whole % 2 == 1))))
+    return (whole + up.cast("int")) / F.lit(scale)
+
+
 def intersection(a: Box, b: Box) -> Column:
     """Common area; 0 for boxes that are apart or only touch."""
     w = F.least(a.x1, b.x1) - F.greatest(a.x0, b.x0)
