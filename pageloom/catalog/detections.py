@@ -113,9 +113,9 @@ def pf9(t):
 
 @query("PF9_model_block_types", ["blocks_idx"], """
 SELECT type,CASE type WHEN 'equation' THEN 'interline_equation' WHEN 'code' THEN 'code_body' WHEN 'image' THEN 'image_body' ELSE 'text' END block_type,
-  CASE type WHEN 'equation' THEN 'interline_equation' WHEN 'code' THEN 'code' WHEN 'image' THEN 'image' ELSE 'text' END span_type,COUNT(*) n
+  CASE type WHEN 'equation' THEN 'interline_equation' WHEN 'image' THEN 'image' ELSE 'text' END span_type,COUNT(*) n
 FROM (SELECT CASE type WHEN 'table_body' THEN 'equation' WHEN 'image_body' THEN 'image' WHEN 'table_caption' THEN 'code' WHEN 'image_caption' THEN 'other' ELSE 'text' END AS type FROM blocks_idx) z
-GROUP BY 1,2,3""")
+WHERE type<>'other' GROUP BY 1,2,3""")
 def pf9_model(t):
     k = F.col("type")
     model = t.blocks_idx.withColumn("type", F.when(k == "table_body", "equation").when(k == "image_body", "image")

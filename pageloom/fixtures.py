@@ -132,6 +132,6 @@ def closure(names: list[str]) -> list[str]:
 def oracle(names: list[str], body: str, ctes: str = "") -> str:
     """DuckDB SQL: the fixtures as CTEs, further CTEs, then ``body``."""
     parts = [f"{n} AS ({FIXTURES[n][2] or FIXTURES[n][1]})" for n in closure(names)]
-    if ctes:
+    if ctes.strip():
         parts.append(ctes.strip())
     return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body.strip()

@@ -89,11 +89,10 @@ def with_types(dets: DataFrame) -> DataFrame:
 
 
 def with_model_types(blocks: DataFrame) -> DataFrame:
-    """PF9 for language-model blocks; unknown types become text."""
+    """PF9 for language-model blocks; blocks of unknown type go."""
     types = blocks.sparkSession.createDataFrame(
         [(k, b, s) for k, (b, s) in S.MODEL_BLOCK_TYPES.items()], "type string, block_type string, span_type string")
-    return blocks.join(F.broadcast(types), "type", "left").withColumns({
-        "block_type": F.coalesce("block_type", F.lit("text")), "span_type": F.coalesce("span_type", F.lit("text"))})
+    return blocks.join(F.broadcast(types), "type")
 
 
 def into_crop(formulas: DataFrame, crop: g.Box, paste: int, crop_w: Column, crop_h: Column) -> DataFrame:

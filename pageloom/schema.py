@@ -63,8 +63,8 @@ MODEL_BLOCK_TYPES = {
     "list": ("list", "text"),
     "image": ("image_body", "image"),
     "table": ("table_body", "table"),
-    "code": ("code_body", "code"),
-    "algorithm": ("code_body", "code"),
+    "code": ("code_body", "text"),
+    "algorithm": ("code_body", "text"),
     "equation": ("interline_equation", "interline_equation"),
 }
 
