@@ -109,6 +109,10 @@ SELECT doc_id,page_idx,para_no,col_no,MIN(line_no) block_ord,COUNT(*) n_lines,
   MIN(x0) x0,MIN(y0) y0,MAX(x1) x1,MAX(y1) y1,
   CASE WHEN COUNT(*)=1 AND MAX(LENGTH(txt))<30 THEN 'title' ELSE 'text' END type
 FROM lines GROUP BY doc_id,page_idx,para_no,col_no""", None),
+    # F2 with block ids that follow the reading order of the document, and the block type.
+    "doc_lines": (["lines", "text_blocks"], """
+SELECT l.doc_id,l.page_idx,b.block_ord block_id,l.line_no,l.x0,l.y0,l.x1,l.y1,l.txt,b.type FROM lines l
+JOIN text_blocks b ON b.doc_id=l.doc_id AND b.page_idx=l.page_idx AND b.para_no=l.para_no AND b.col_no=l.col_no""", None),
     # Spans of F2: each line as one or two spans of up to 40 characters.
     "spans": (["lines"], """
 SELECT doc_id,page_idx,para_no,col_no,line_no,k,line_no*2+k span_id,'text' type,
