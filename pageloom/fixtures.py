@@ -32,6 +32,20 @@ l AS (SELECT doc_id,bi,para,unnest(generate_series(0,CAST(FLOOR((length(para)-1)
 
 _CHARS_HEAD = "SELECT doc_id,page_idx,para_no,col_no,line_no,CAST(i AS BIGINT) i,substring(txt,i+1,1) ch,x0+i*6 x0,y0+1 y0,x0+i*6+5 x1,y1-1 y1 FROM "
 
+_TABLE_ROWS = """SELECT doc_id,page_idx,row_no,CASE row_no%7
+  WHEN 3 THEN CONCAT('<tr><td colspan="2">',CAST(c_custkey AS STRING),' ',c_name,'</td><td>',c_mktsegment,'</td></tr>')
+  WHEN 5 THEN CONCAT('<tr><td rowspan="2">',CAST(c_custkey AS STRING),'</td><td>',c_name,'</td><td>',c_mktsegment,'</td></tr>')
+  WHEN 6 THEN CONCAT('<tr><td>',c_name,'</td><td>',c_mktsegment,'</td></tr>')
+  ELSE CONCAT('<tr><td>',CAST(c_custkey AS STRING),'</td><td>',c_name,'</td><td>',c_mktsegment,'</td></tr>') END tr FROM trows"""
+
+_TABLES = """WITH r AS ({rows}),
+b AS (SELECT doc_id,page_idx,{body} body FROM r GROUP BY doc_id,page_idx)
+SELECT doc_id,page_idx,CONCAT('<table><tr><td>',CASE WHEN page_idx%2=1 AND doc_id%4=0 THEN 'ｉｄ' WHEN page_idx%2=1 AND doc_id%4=1 THEN 'key' ELSE 'id' END,
+  '</td><td>name</td><td>segment</td></tr>',body,'</table>') html,CAST(50 AS BIGINT) x0,
+  CAST(CASE WHEN (doc_id+page_idx)%8=0 THEN 450 ELSE 550 END AS BIGINT) x1,
+  CASE WHEN page_idx=0 OR doc_id%5=0 THEN CONCAT('Table ',CAST(doc_id AS STRING)) ELSE CONCAT('Table ',CAST(doc_id AS STRING),' （Continued）') END caption,
+  CASE WHEN (doc_id+page_idx)%6=0 THEN CONCAT('note ',CAST(page_idx AS STRING)) END footnote FROM b"""
+
 # name -> (tables it reads, Spark SQL, DuckDB SQL or None where the same text serves both)
 FIXTURES: dict[str, tuple[list[str], str, str | None]] = {
     # F1: detections; near copies (dup) overlap by more than 0.95.
@@ -58,6 +72,9 @@ FROM dets""", None),
     "trows": (["customer"], """
 SELECT CAST(c_nationkey AS BIGINT) doc_id, CAST(FLOOR((rn-1)/20) AS BIGINT) page_idx, CAST((rn-1)%20 AS BIGINT) row_no, c_custkey, c_name, c_mktsegment
 FROM (SELECT *,ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) rn FROM customer) z""", None),
+    # F4 rendered: one table per page with a header row, some cells merged, captions and footnotes.
+    "page_tables": (["trows"], _TABLES.format(rows=_TABLE_ROWS, body="array_join(transform(array_sort(collect_list(struct(row_no,tr))),x->x.tr),'')"),
+                    _TABLES.format(rows=_TABLE_ROWS, body="STRING_AGG(tr,'' ORDER BY row_no)")),
     # table structure tokens; a row ends after c = 3.
     "otsl": (["part"], """
 SELECT CAST(FLOOR(p_partkey/20) AS BIGINT) table_id, CAST(FLOOR((p_partkey%20)/4) AS BIGINT) r, p_partkey%4 c,
