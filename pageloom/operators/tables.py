@@ -339,9 +339,10 @@ def merge_tables_over_pages(tables: DataFrame, links: DataFrame) -> DataFrame:
     Linked tables form runs; a run is folded from its last pair to its first, because a joined table
     enters the next test. Tables outside runs do not reach the fold.
     """
-    cur = tables.join(links.select("doc_id", "block_id", F.lit(True).alias("linked"), "prev_block_id"), ["doc_id", "block_id"], "left")
-    linked_to = links.select("doc_id", F.col("prev_block_id").alias("block_id"), F.lit(True).alias("leads"))
-    cur = cur.join(linked_to, ["doc_id", "block_id"], "left")
+    block = ["doc_id", "page_idx", "block_id"]
+    cur = tables.join(links.select(*block, F.lit(True).alias("linked")), block, "left")
+    leads = links.select("doc_id", (F.col("page_idx") - 1).alias("page_idx"), F.col("prev_block_id").alias("block_id"), F.lit(True).alias("leads"))
+    cur = cur.join(leads, block, "left")
     plain = ["doc_id", "page_idx", "block_id", "html", "footnotes"]
     alone = cur.where(F.col("linked").isNull() & F.col("leads").isNull()).select(
         *plain, F.lit(False).alias("foreign_footnotes"), F.lit(False).alias("merged_away"))
