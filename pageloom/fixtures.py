@@ -130,6 +130,18 @@ FROM lines GROUP BY doc_id,page_idx,para_no,col_no""", None),
     "doc_lines": (["lines", "text_blocks"], """
 SELECT l.doc_id,l.page_idx,b.block_ord block_id,l.line_no,l.x0,l.y0,l.x1,l.y1,l.txt,b.type FROM lines l
 JOIN text_blocks b ON b.doc_id=l.doc_id AND b.page_idx=l.page_idx AND b.para_no=l.para_no AND b.col_no=l.col_no""", None),
+    # F2 lines read as finished blocks of every type, with captions, footnotes and bodies.
+    "render_blocks": (["lines"], """
+SELECT doc_id,page_idx,line_no block_id,x0,y0,x1,y1,
+  CASE line_no%8 WHEN 0 THEN 'title' WHEN 1 THEN 'text' WHEN 2 THEN 'image' WHEN 3 THEN 'table' WHEN 4 THEN 'interline_equation'
+    WHEN 5 THEN 'code' WHEN 6 THEN 'list' ELSE 'discarded' END type,
+  txt text,CAST(line_no%6 AS BIGINT) AS level,
+  CASE WHEN line_no%5=0 THEN '' ELSE CONCAT(MD5(CAST(line_no AS STRING)),'.jpg') END image_path,
+  CASE WHEN line_no%3=0 THEN '' WHEN line_no%7=0 THEN '<table><tr><td colspan="2">a</td></tr></table>'
+    WHEN line_no%11=0 THEN '<table><tr><td><table></table></td></tr></table>' ELSE '<table><tr><td>a</td></tr></table>' END html,
+  CASE WHEN line_no%2=0 THEN CONCAT('Caption ',CAST(line_no AS STRING),' ') END caption,
+  CASE WHEN line_no%4<2 THEN CONCAT('Note ',CAST(line_no AS STRING),' ') END footnote,
+  CASE WHEN doc_id%2=0 THEN 'code' ELSE 'algorithm' END sub_type FROM lines""", None),
     # Spans of F2: each line as one or two spans of up to 40 characters.
     "spans": (["lines"], """
 SELECT doc_id,page_idx,para_no,col_no,line_no,k,line_no*2+k span_id,'text' type,
