@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from ..session import materialize
 
 MODULES = (
     "geometry", "detections", "blocks", "spans", "ordering", "paragraphs", "tables", "rendering",
-    "texts", "documents", "tasks",
+    "texts", "documents", "tasks", "files",
 )
 
 
@@ -89,6 +90,10 @@ class Tables:
             _WRITTEN[key] = materialize(df, name) if self.write else df
         return _WRITTEN[key]
 
+    def folder(self, name: str) -> str:
+        """Folder of a written fixture, for streams."""
+        return os.path.dirname(self.fixture(name).inputFiles()[0])
+
     def sql(self, text: str, *reads: str) -> DataFrame:
         for table in reads:
             getattr(self, table).createOrReplaceTempView(table)

@@ -85,6 +85,14 @@ SELECT CAST(FLOOR(p_partkey/20) AS BIGINT) table_id, CAST(FLOOR((p_partkey%20)/4
 SELECT CAST(FLOOR(event_id/3) AS BIGINT) task_id, ts, user_id%4 worker, event_type, event_id,
   CASE ROW_NUMBER() OVER (PARTITION BY FLOOR(event_id/3) ORDER BY ts,event_id) WHEN 1 THEN 'pending' WHEN 2 THEN 'processing'
        ELSE CASE WHEN event_type='error' THEN 'failed' ELSE 'completed' END END status FROM events""", None),
+    # Task table.
+    "tasks": (["orders"], """
+SELECT o_orderkey task_id,CAST(o_custkey%5 AS BIGINT) priority,
+  CASE o_orderkey%6 WHEN 0 THEN 'pending' WHEN 1 THEN 'processing' WHEN 2 THEN 'completed' WHEN 3 THEN 'failed' WHEN 4 THEN 'cancelled' ELSE 'completed' END status,
+  o_orderdate created_at,CASE WHEN o_orderkey%6 IN (1,2,3,5) THEN o_orderdate + (o_orderkey%100) * INTERVAL '1' MINUTE END started_at,
+  CASE WHEN o_orderkey%6 IN (2,3,5) THEN o_orderdate + (o_orderkey%100+o_custkey%600) * INTERVAL '1' MINUTE END completed_at,
+  CASE WHEN o_orderkey%6 IN (1,2,3,5) THEN CONCAT('w',CAST(o_custkey%4 AS STRING)) END worker_id,CAST(o_orderkey%3 AS BIGINT) retry_count,
+  CASE WHEN o_orderkey%6 IN (2,5) THEN CONCAT('/out/',CAST(o_orderkey AS STRING)) END result_path FROM orders""", None),
     # text layer of pages, some of it broken.
     "page_text": (["lines"], """
 SELECT doc_id,page_idx,line_no,CASE WHEN doc_id%9=0 THEN CONCAT(SUBSTRING(txt,1,40),'(cid:12)')

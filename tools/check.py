@@ -15,7 +15,7 @@ from pageloom.fixtures import BASE_TABLES  # noqa: E402
 from pageloom.session import build_session  # noqa: E402
 
 KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
-         "TIMESTAMP": "timestamp"}
+         "TIMESTAMP": "timestamp_ntz"}
 
 
 def norm(value):
