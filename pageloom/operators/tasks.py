@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 FINAL = ["completed", "failed"]
 
-STATE = "struct<status:string,worker:string,started_at:timestamp,completed_at:timestamp,rejected:bigint>"
-
 
 def is_legal(status: Column, worker: Column, new: Column, new_worker: Column) -> Column:
     """ST2: what may follow: pending opens a task; processing and cancelled follow pending; completed and
@@ -24,8 +22,9 @@ def task_states(events: DataFrame) -> DataFrame:
     """ST2, batch form: state of each task after its events (task_id, ts, event_id, status, worker) in
     order; illegal events are counted and change nothing."""
     ordered = F.array_sort(F.collect_list(F.struct("ts", "event_id", "status", F.col("worker").cast("string").alias("worker"))))
+    time = dict(events.dtypes)["ts"]
     start = F.struct(*(F.lit(None).cast(k).alias(n) for n, k in (
-        ("status", "string"), ("worker", "string"), ("started_at", "timestamp"), ("completed_at", "timestamp"))), F.lit(0).cast("bigint").alias("rejected"))
+        ("status", "string"), ("worker", "string"), ("started_at", time), ("completed_at", time))), F.lit(0).cast("bigint").alias("rejected"))
 
     def step(state: Column, e: Column) -> Column:
         taken = F.struct(
