@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixtures import BASE_TABLES, FIXTURES, oracle
-from ..session import materialize
+from ..session import materialize, tune
 
 MODULES = (
     "geometry", "detections", "blocks", "spans", "ordering", "paragraphs", "tables", "rendering",
@@ -72,6 +72,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str, write: bool = True):
         self.spark, self.sf_dir, self.write = spark, sf_dir.rstrip("/"), write
+        tune(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:

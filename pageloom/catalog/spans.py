@@ -100,8 +100,10 @@ def shifted_chars(t):
 
 @query("J17_fill_chars_in_spans", ["chars", "spans"], "SELECT doc_id,page_idx,span_id,COUNT(*) n,MIN(i) lo,MAX(i) hi FROM won GROUP BY 1,2,3", SHIFT)
 def j17(t):
-    won = S.fill_chars(shifted_chars(t), t.spans)
-    return won.groupBy(*IDS).agg(F.count("*").alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi"))
+    ranked = S.rank_spans(t.spans)
+    won = S.fill_chars(shifted_chars(t), ranked)
+    found = won.groupBy(*S.SPAN_ORD).agg(F.count("*").alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi"))
+    return found.join(ranked.select(*S.SPAN_ORD, "span_id"), S.SPAN_ORD).drop("ord")
 
 
 CONTENT = """, pieces AS (SELECT doc_id,page_idx,span_id,i,ch,cx1,LEAD(cx0) OVER w nx,LEAD(ch) OVER w nc,
@@ -110,14 +112,20 @@ content AS (SELECT doc_id,page_idx,span_id,MAX(mw) median_width,REGEXP_REPLACE(S
   CASE WHEN nx-cx1>mw*0.25 AND ch<>' ' AND nc<>' ' THEN ch||' ' ELSE ch END,'' ORDER BY i),'^\\s+|\\s+$','','g') content FROM pieces GROUP BY 1,2,3)"""
 
 
+def _contents(t):
+    ranked = S.rank_spans(t.spans)
+    texts = S.chars_to_text(S.fill_chars(shifted_chars(t), ranked))
+    return texts.join(ranked.select(*S.SPAN_ORD, "span_id"), S.SPAN_ORD).drop("ord")
+
+
 @query("W19_chars_to_content", ["chars", "spans"], "SELECT doc_id,page_idx,span_id,content FROM content", SHIFT + CONTENT)
 def w19(t):
-    return S.chars_to_text(S.fill_chars(shifted_chars(t), t.spans)).drop("median_width")
+    return _contents(t).drop("median_width")
 
 
 @query("AG4_median_char_width", ["chars", "spans"], "SELECT doc_id,page_idx,span_id,median_width FROM content", SHIFT + CONTENT)
 def ag4(t):
-    return S.chars_to_text(S.fill_chars(shifted_chars(t), t.spans)).drop("content")
+    return _contents(t).drop("content")
 
 
 LINES = """

@@ -14,7 +14,8 @@ def _cell_range(lo: Column, hi: Column, size: int) -> Column:
     return F.sequence(first, F.greatest(first, F.floor(hi / size)))
 
 
-def _on_grid(df: DataFrame, cell_w: int, cell_h: int) -> DataFrame:
+def on_grid(df: DataFrame, cell_w: int, cell_h: int) -> DataFrame:
+    """Rows copied to each grid cell (gx, gy) that their box covers."""
     return (
         df.withColumn("gx", F.explode(_cell_range(F.col("x0"), F.col("x1"), cell_w)))
         .withColumn("gy", F.explode(_cell_range(F.col("y0"), F.col("y1"), cell_h)))
@@ -33,7 +34,7 @@ def meeting_pairs(
     Columns are reachable through the aliases ``a`` and ``b``. Any predicate that is false for boxes
     that do not meet may be passed as ``condition``.
     """
-    a, b = _on_grid(left, cell_w, cell_h).alias("a"), _on_grid(right, cell_w, cell_h).alias("b")
+    a, b = on_grid(left, cell_w, cell_h).alias("a"), on_grid(right, cell_w, cell_h).alias("b")
     col = F.col
     on = [col(f"a.{k}") == col(f"b.{k}") for k in (*keys, "gx", "gy")]
     on += [

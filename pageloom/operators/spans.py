@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geom as g
 from ..functions import text as tx
 from . import settle
-from .pairs import PAGE, meeting_pairs, only, without
+from .pairs import PAGE, meeting_pairs, on_grid, only, without
 
 A, B = g.box("a"), g.box("b")
 BOX_COLS = ["x0", "y0", "x1", "y1"]
@@ -73,24 +73,43 @@ def fill_vertical_spans(lines: DataFrame, spans: DataFrame) -> DataFrame:
     return home.groupBy(*SPAN).agg(F.array_join(ordered["text"], "").alias("content"))
 
 
-def fill_chars(chars: DataFrame, spans: DataFrame) -> DataFrame:
-    """Each character with the topmost span that takes it (``span_id``); others are absent.
+SPAN_ORD = [*PAGE, "ord"]
+CHAR_CELL_W, CHAR_CELL_H = 256, 16
 
-    Cells are one text line high, so a character meets few spans. ``min`` over (y0, id) aggregates
-    map-side before the shuffle.
+
+def rank_spans(spans: DataFrame) -> DataFrame:
+    """Adds ``ord``, the place of a span by (top edge, id) on its page."""
+    return spans.withColumn("ord", F.row_number().over(Window.partitionBy(*PAGE).orderBy("y0", "span_id")))
+
+
+def fill_chars(chars: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Each character with the topmost span that takes it, as ``ord`` of :func:`rank_spans`;
+    others are absent.
+
+    Most characters can only lie inside a span by their centre. They go to the one grid cell of that
+    centre, so all their candidates are in one cell: the choice needs no second shuffle, and with the
+    payload among the grouping keys and a number as the only buffer it is a hash aggregation. Marks
+    may hang over a border and take the general pair join.
     """
-    pairs = meeting_pairs(
-        chars.select(*PAGE, "char_id", "i", "ch", *BOX_COLS), spans.select(*SPAN, *BOX_COLS),
-        g.char_in_span(A, B, F.col("a.ch")), cell_w=256, cell_h=16)
-    return (
-        pairs.groupBy(*(F.col(f"a.{k}").alias(k) for k in PAGE), F.col("a.char_id").alias("char_id"))
-        .agg(F.min(F.struct(F.col("b.y0").alias("y0"), F.col("b.span_id").alias("span_id"))).alias("won"),
-             F.first(F.struct("a.i", "a.ch", "a.x0", "a.x1")).alias("c"))
-        .select(*PAGE, "char_id", "won.span_id", "c.i", "c.ch", "c.x0", "c.x1")
-    )
-
-
-def chars_to_text(chars: DataFrame, keys: list[str] = SPAN) -> DataFrame:
+    payload = ["char_id", "i", "ch", "x0", "x1"]
+    slim = ranked.select(*PAGE, "ord", *BOX_COLS)
+    marks = F.col("ch").isin(*g.CLOSING_MARKS, *g.OPENING_MARKS)
+    inner = chars.where(~marks)
+    cell = {"gx": F.floor((F.col("x0") + F.col("x1")) / 2.0 / CHAR_CELL_W), "gy": F.floor((F.col("y0") + F.col("y1")) / 2.0 / CHAR_CELL_H)}
+    placed = inner.select(*PAGE, *payload, "y0", "y1").withColumns(cell).alias("a")
+    targets = on_grid(slim, CHAR_CELL_W, CHAR_CELL_H).alias("b")
+    keys = [*PAGE, "gx", "gy"]
+    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [g.char_in_span(A, B, F.col("a.ch"))]
+    inside = (
+        placed.join(targets, on).groupBy(*(F.col(f"a.{k}").alias(k) for k in (*keys, *payload))).agg(F.min("b.ord").alias("ord"))
+        .drop("gx", "gy"))
+    pairs = meeting_pairs(chars.where(marks).select(*PAGE, *payload, "y0", "y1"), slim,
+                          g.char_in_span(A, B, F.col("a.ch")), cell_w=CHAR_CELL_W, cell_h=CHAR_CELL_H)
+    hanging = pairs.groupBy(*(F.col(f"a.{k}").alias(k) for k in (*PAGE, *payload))).agg(F.min("b.ord").alias("ord"))
+    return inside.unionByName(hanging)
+
+
+def chars_to_text(chars: DataFrame, keys: list[str] = SPAN_ORD) -> DataFrame:
     """W19, AG4: text of each span, with a blank where the gap to the next character exceeds a quarter
     of the median width and neither is a blank; then control marks, ligatures and end blanks."""
     grouped = chars.groupBy(*keys).agg(

@@ -18,6 +18,17 @@ DEFAULTS = {
 }
 
 
+# Set where the session has no value of its own. A sort-merge join turns into a hash join at run time
+# when every partition of the built side is measured to be below this.
+RUNTIME = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB"}
+
+
+def tune(spark: SparkSession) -> None:
+    for key, value in RUNTIME.items():
+        if spark.conf.get(key, "0b").lower() in ("0b", "0"):
+            spark.conf.set(key, value)
+
+
 def build_session(app: str = "pageloom", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
