@@ -208,3 +208,10 @@ def cut_text_at_formulas(text: DataFrame, formulas: DataFrame) -> DataFrame:
     cut = subtract_intervals(ranges, masks, SPAN).join(straight.select(*SPAN, "y0", "y1"), SPAN)
     return cut.select(*SPAN, F.col("lo").alias("x0"), "y0", F.col("hi").alias("x1"), "y1").unionByName(
         text.where("skewed").select(*SPAN, *BOX_COLS))
+
+
+def distinct_by_value(spans: DataFrame) -> DataFrame:
+    """SE1 for content spans: of spans alike in type, box, score and content the first stays."""
+    alike = ["type", *BOX_COLS, "score", "content", "html"]
+    firsts = spans.groupBy(*PAGE, *alike).agg(F.min("span_id").alias("span_id"))
+    return only(spans, firsts, SPAN)
