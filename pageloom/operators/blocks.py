@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import geom as g
+from ..session import materialize
 from . import folds
 from .detections import band_pairs
 from .pairs import PAGE, meeting_pairs, only, without
@@ -69,8 +70,13 @@ def coarse_order(blocks: DataFrame) -> DataFrame:
 
 
 def resolve_blocks(blocks: DataFrame, discarded: DataFrame, page_w: Column, page_h: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Block conflicts in order J7, J8, J9, J10, J11: (blocks ranked by SO1, discarded, footnotes)."""
-    blocks = drop_text_under_equations(drop_blocks_on_discarded(drop_titles_under_text(blocks), discarded))
+    """Block conflicts in order J7, J8, J9, J10, J11: (blocks ranked by SO1, discarded, footnotes).
+
+    Each rule reads its input several times, so the blocks are written between rules.
+    """
+    blocks = materialize(drop_titles_under_text(blocks), "blocks")
+    blocks = materialize(drop_blocks_on_discarded(blocks, discarded), "blocks")
+    blocks = materialize(drop_text_under_equations(blocks), "blocks")
     footnotes = page_footnotes(discarded, page_w, page_h)
     blocks, under = split_under_footnotes(blocks, footnotes)
     discarded = absorb_overlapping_blocks(discarded.unionByName(under))

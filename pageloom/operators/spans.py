@@ -92,14 +92,16 @@ def fill_chars(chars: DataFrame, ranked: DataFrame) -> DataFrame:
     may hang over a border and take the general pair join.
     """
     payload = ["char_id", "i", "ch", "x0", "x1"]
+    keys = [*PAGE, "gx", "gy"]
     slim = ranked.select(*PAGE, "ord", *BOX_COLS)
     marks = F.col("ch").isin(*g.CLOSING_MARKS, *g.OPENING_MARKS)
-    inner = chars.where(~marks)
-    cell = {"gx": F.floor((F.col("x0") + F.col("x1")) / 2.0 / CHAR_CELL_W), "gy": F.floor((F.col("y0") + F.col("y1")) / 2.0 / CHAR_CELL_H)}
-    placed = inner.select(*PAGE, *payload, "y0", "y1").withColumns(cell).alias("a")
+    middle = {"cx": (F.col("x0") + F.col("x1")) / 2.0, "cy": (F.col("y0") + F.col("y1")) / 2.0}
+    cell = {"gx": F.floor(F.col("cx") / CHAR_CELL_W), "gy": F.floor(F.col("cy") / CHAR_CELL_H)}
+    placed = chars.where(~marks).select(*PAGE, *payload, "y0", "y1").withColumns(middle).withColumns(cell).drop("y0", "y1").alias("a")
     targets = on_grid(slim, CHAR_CELL_W, CHAR_CELL_H).alias("b")
-    keys = [*PAGE, "gx", "gy"]
-    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [g.char_in_span(A, B, F.col("a.ch"))]
+    cx, cy = F.col("a.cx"), F.col("a.cy")
+    level = F.abs(cy - (B.y0 + B.y1) / 2.0) < g.height(B) * F.lit(g.AXIS_SHARE)
+    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [cx > B.x0, cx < B.x1, cy > B.y0, cy < B.y1, level]
     inside = (
         placed.join(targets, on).groupBy(*(F.col(f"a.{k}").alias(k) for k in (*keys, *payload))).agg(F.min("b.ord").alias("ord"))
         .drop("gx", "gy"))

@@ -149,3 +149,15 @@ def test_grid_of_boxes_with_merged_cells():
             cell(4, 1, 200, 20, 300, 40), cell(5, 2, 100, 40, 200, 60), cell(6, 2, 200, 40, 300, 60)]
     got = {r["cell_no"]: (r["r0"], r["r1"], r["c0"], r["c1"]) for r in folds.grid_of_boxes(rows)}
     assert got == {0: (0, 0, 0, 1), 1: (0, 0, 2, 2), 2: (1, 2, 0, 0), 3: (1, 1, 1, 1), 4: (1, 1, 2, 2), 5: (2, 2, 1, 1), 6: (2, 2, 2, 2)}
+
+
+def test_characters_take_the_topmost_span(spark):
+    """Marks over the border, overlapping spans, strays."""
+    span_rows = [(1, 0, 1, 0, 100, 200, 112), (1, 0, 2, 0, 98, 200, 114), (1, 0, 3, 300, 100, 400, 112)]
+    sp = spark.createDataFrame(span_rows, "doc_id bigint, page_idx bigint, span_id bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint")
+    chars = [(0, "a", 10, 15), (1, ".", 198, 206), (2, "a", 198, 206), (3, "(", 295, 303), (4, "x", 250, 255), (5, "z", 390, 395)]
+    ch = spark.createDataFrame([(1, 0, k, k, c, x0, 101, x1, 111) for k, c, x0, x1 in chars],
+                               "doc_id bigint, page_idx bigint, char_id bigint, i bigint, ch string, x0 bigint, y0 bigint, x1 bigint, y1 bigint")
+    ranked = spans.rank_spans(sp)
+    got = spans.fill_chars(ch, ranked).join(ranked.select("ord", "span_id"), "ord")
+    assert {(r.char_id, r.span_id) for r in got.collect()} == {(0, 2), (1, 2), (3, 3), (5, 3)}
