@@ -11,7 +11,7 @@ from .pairs import PAGE
 
 def text_block_markdown(kind: Column, text: Column, level: Column | None = None) -> Column:
     """FN22 for text, lists and titles: titles get their # marks."""
-    marks = F.expr("'#'") if level is None else F.repeat(F.lit("#"), level)
+    marks = F.lit("#") if level is None else F.repeat(F.lit("#"), level)
     return F.when(kind == "title", F.concat(marks, F.lit(" "), text)).otherwise(text)
 
 
