@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,9 +40,14 @@ def build_session(app: str = "pageloom", master: str | None = None, **conf) -> S
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a private one only where none is set (tests)."""
+    """Shared folder named by the cluster; a private one only where none is set and one machine runs all (tests).
+
+    A cluster without the setting is an error: other machines could not read a machine-local folder.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="pageloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
