@@ -1,8 +1,9 @@
 """Hashed word and character n-gram features of whole texts, computed with numpy over blocks of UTF-8 bytes.
 
 A text is lower-cased (A-Z) and its white space becomes a space. Features are the words and the byte n-grams that do not reach
-over a space, where the space before and after a word counts as a part of it. Each feature goes to one of ``2**bits`` buckets.
-Every feature of the whole text counts; memory is bounded by the block (a long text is read in overlapping pieces).
+over a space, where the space before and after a word counts as a part of it. A word equal to the one before it also gives a
+repeat mark, the same for all words. Each feature goes to one of ``2**bits`` buckets. Every feature of the whole text counts;
+memory is bounded by the block (a long text is read in pieces that end between words).
 """
 
 from __future__ import annotations
@@ -51,7 +52,10 @@ class Hasher:
                 inside = (place - np.maximum.accumulate(first)) & 63
                 mixed = value * _PLACE[inside]
                 mixed[space] = 0
-                yield starts, self._bucket(np.add.reduceat(mixed, starts, dtype=np.uint32), 1)
+                whole = np.add.reduceat(mixed, starts, dtype=np.uint32)
+                yield starts, self._bucket(whole, 1)
+                again = starts[1:][whole[1:] == whole[:-1]]
+                yield again, np.full(len(again), self._bucket(np.zeros(1, np.uint32), 2)[0])
         if self.sizes:
             h = value.copy()
             for k in range(2, self.sizes[-1] + 1):
@@ -68,7 +72,7 @@ class Hasher:
 
     @staticmethod
     def pieces(text: memoryview) -> Iterator[bytes]:
-        """The text in parts cut at spaces, so that no feature is lost or split (a word longer than a part stays whole)."""
+        """The text in parts cut at spaces, so that no n-gram is lost or split (a word longer than a part stays whole)."""
         if len(text) <= PIECE:
             yield bytes(text)
             return

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing
+from . import packing, quality_embed, quality_rules, toxicity
+from .common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +23,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scored(docs: DataFrame, held: int, parts: int, score, at: float) -> DataFrame:
+    out = docs.select("doc_id", (fold("doc_id", parts) == held).alias("held_out"), score.alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= at).cast("int"))
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_embed.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return scored(docs, 0, 5, quality_embed.score(model, "text"), 0.3)
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    out = quality_rules.apply_rules(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "probability")
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    return scored(docs, 1, 3, toxicity.score(model, "text"), 0.7)
