@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_embed, quality_rules, toxicity
+from . import language, packing, quality_embed, quality_rules, toxicity
 from .common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, fold("doc_id", 4) != 2)
+    return docs.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), language.identify(model, "text").alias("_l")).select(
+        "doc_id", "held_out", "_l.lang_pred", "_l.score")
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
