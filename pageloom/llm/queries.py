@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, minhash, packing, quality_embed, quality_rules, toxicity
+from . import decontaminate, language, line_runs, minhash, packing, quality_embed, quality_rules, toxicity
 from .common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "probability")
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.report(line_runs.remove_copies(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+ORACLES["op4_line_dedup"] = line_runs.ORACLE
+
+
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
