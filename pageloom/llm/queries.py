@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_runs, minhash, packing, quality_embed, quality_rules, toxicity
+from . import decontaminate, language, line_runs, minhash, packing, quality_embed, quality_rules, toxicity, unit_dedup
 from .common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,15 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, 0, 5, quality_embed.score(model, "text"), 0.3)
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = unit_dedup.removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *(F.col(c).cast("long").alias(c) for c in ("start", "end", "n_words", "n_units", "first_doc_id", "first_start")))
+
+
+ORACLES["op2_substring_dedup"] = unit_dedup.ORACLE
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
