@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_runs, minhash, packing, quality_embed, quality_rules, toxicity, unit_dedup
+from . import decontaminate, html_render, language, line_runs, minhash, packing, quality_embed, quality_rules, toxicity, unit_dedup
 from .common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op4_line_dedup"] = line_runs.ORACLE
 
 
+@query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_render.render(table(spark, sf_dir, "pages"))
+    lines = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n", -1)))
+    return out.select("page_id", "text", F.char_length("text").cast("long").alias("n_chars"), lines.cast("long").alias("n_lines"))
+
+
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
