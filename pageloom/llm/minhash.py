@@ -187,11 +187,12 @@ def classes(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame
 
 
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(doc_id, key, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
+    """(doc_id, key, n_shingles, component, component_id, kept) for every row of ``docs`` (doc_id, text).
 
     component_id: smallest doc_id reachable over links; the row's own if its text has no word. A null doc_id takes part in nothing
     and has a null component. Rows that share a doc_id belong to one component only by their texts; each is judged by its own.
-    ``key`` tells such rows apart. Of repeated rows with the smallest id all have doc_id = component_id.
+    ``key`` tells such rows apart, and ``component`` (any number; null where a row takes no part) tells components apart that share
+    their smallest doc_id. Of repeated rows with the smallest id all have doc_id = component_id.
     """
     rows, firsts = classes(docs, p)
     # one row per class: any row of the class's smallest id has its bands and bits, as they follow from the set alone
@@ -228,10 +229,10 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     rooted = reps.select("digest", F.col("rep").alias("id"), F.col("id").alias("first")).join(settled, "id", "left")
     rooted = rooted.withColumn("component", F.coalesce("component", "id"))
     smallest = rooted.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "component").select("digest", "component_id")
-    return (rows.join(named, "digest", "left")
+    named = rooted.join(smallest, "component").select("digest", "component", "component_id")
+    return (rows.withColumn("digest", F.when(F.col("doc_id").isNotNull(), F.col("digest"))).join(named, "digest", "left")
             .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
-            .select("doc_id", "key", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+            .select("doc_id", "key", "n_shingles", "component", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
 def _texts(docs: DataFrame, reps: DataFrame, shared: DataFrame) -> DataFrame:
