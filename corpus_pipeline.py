@@ -20,20 +20,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def slim(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all else as one struct, so that no column of ``docs`` meets one that an operator adds."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*rest).alias("_rest") if rest else F.lit(None).alias("_rest"))
+
+
+def full(slimmed: DataFrame, columns: list[str]) -> DataFrame:
+    return slimmed.select(*(F.col(c) if c in ("doc_id", "text") else F.col("_rest").getField(c).alias(c) for c in columns))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages. Those that are ``und`` (null text, or no letter) or whose best language has not half
     of the score go. Languages are learned from ``docs`` itself (fold 2 of 4 aside); ``lang`` keeps its given value."""
     model = language.fit(docs, fold("doc_id", 4) != 2)
-    found = docs.withColumn("_l", language.identify(model, "text"))
-    return found.filter((F.col("_l.lang_pred") != language.UNKNOWN) & (F.col("_l.score") >= LEAST_LANGUAGE_SCORE)).drop("_l")
+    found = slim(docs).withColumn("_l", language.identify(model, "text"))
+    kept = found.filter((F.col("_l.lang_pred") != language.UNKNOWN) & (F.col("_l.score") >= LEAST_LANGUAGE_SCORE))
+    return full(kept, docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of repeated runs of lines. A document that had lines and lost them all goes."""
-    found = line_runs.remove_copies(docs)
+    found = line_runs.remove_copies(slim(docs))
     emptied = (F.size("runs") == 1) & (F.get("runs", F.lit(0))["last"] - F.get("runs", F.lit(0))["first"] + 1 == F.col("n_lines"))
-    kept = found.filter(~emptied)
-    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    kept = full(found.filter(~emptied), docs.columns)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +53,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     grouped = found.filter(F.col("component").isNotNull())
     first = grouped.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("f")).select("f.*")
     best = first.union(found.filter(F.col("component").isNull()).select("doc_id", "key")).distinct().toDF("_d", "_k")
-    rows = docs.withColumn("_key", text_key("text"))
+    rows = slim(docs).withColumn("_key", text_key("text"))
     kept = rows.join(best, rows["doc_id"].eqNullSafe(best["_d"]) & (rows["_key"] == best["_k"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).select(docs.columns)
+    return full(kept.dropDuplicates(["doc_id", "_key"]), docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    found = decontaminate.report(decontaminate.find(docs, table(spark, sf_dir, "benchmark")))
-    return found.filter(~F.col("contaminated")).select(docs.columns)
+    found = decontaminate.report(decontaminate.find(slim(docs), table(spark, sf_dir, "benchmark")))
+    return full(found.filter(~F.col("contaminated")), docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -97,7 +97,8 @@ def build(source: str) -> tuple[Node, list[str]]:
             elif name == "br":
                 stack[-1].kids.append(Node("br", {}))
             elif name not in ("p", "html", "body"):
-                close((name,), () if name in ("table", "div") else ("table",) if name in CELLS | ROWS | {"tr", "li"} else CELLS)
+                close((name,), () if name in ("table", "div") else ("table",) if name in CELLS | ROWS | {"tr", "li"}
+                      else CELLS if name in BLOCK else BLOCK | CELLS)  # a block that is still open outlives the inline element around it
             continue
         raw = m[3] if m[2] else m[6]
         if name in ("html", "body"):

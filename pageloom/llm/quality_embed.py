@@ -27,6 +27,7 @@ class Params:
     sizes: tuple[int, ...] = (3, 4, 5)
     dim: int = 16
     epochs: int = 8
+    least_steps: int = 12_000  # a small sample is gone through more often
     rate: float = 0.4
     per_class: int = 1500  # labelled rows of each class that are fitted on at most
     seed: int = 1
@@ -55,8 +56,9 @@ def train(found: list[Example], p: Params = Params()) -> Model:
     vectors[:] = rng.uniform(-1 / p.dim, 1 / p.dim, vectors.shape)
     output = rng.normal(0, 0.5, (2, p.dim)).astype(np.float32)
     bias, weight = np.zeros(2), class_weights(found)
-    steps, step = p.epochs * len(found), 0
-    for _ in range(p.epochs):
+    epochs = max(p.epochs, -(-p.least_steps // len(found)))
+    steps, step = epochs * len(found), 0
+    for _ in range(epochs):
         for k in rng.permutation(len(found)):
             e = found[k]
             rate = p.rate * (1 - step / steps)
