@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -59,14 +59,14 @@ def decoded(texts: pa.Array) -> Iterator[str | None]:
         yield texts[i].as_py()
 
 
-def per_class_sample(rows: DataFrame, key: str, label: str, most: int) -> DataFrame:
-    """(key, label): at most ``most`` rows of each of the labels 0 and 1, picked by hash of the key, alike on every run.
+def bounded_sample(rows: DataFrame, group: str, by: Column, most: int) -> DataFrame:
+    """At most ``most`` rows of each ``group``, those with the smallest hashes ``by``; alike on every run.
 
-    Each pick is a top-k by hash, which Spark keeps bounded in each task.
+    Groups are counted first, and only rows whose hash lies in the lowest part that is expected to hold twice as many go to the
+    ranking. So what one group ranks stays bounded, however many rows it has.
     """
-    out = None
-    for value in (0, 1):
-        part = (rows.filter(F.col(label) == value).select(F.col(key), F.col(label).cast("int").alias(label))
-                .orderBy(F.xxhash64(F.lit(11), key), key).limit(most))
-        out = part if out is None else out.unionByName(part)
-    return out
+    parts = 1 << 30
+    counted = rows.withColumn("_by", by).join(rows.groupBy(group).agg(F.count("*").alias("_n")), group)
+    near = counted.filter(F.pmod("_by", F.lit(parts)) * F.col("_n") < F.lit(float(parts)) * (2 * most + 50))
+    order = Window.partitionBy(group).orderBy(F.pmod("_by", F.lit(parts)), "_by")
+    return near.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= most).drop("_r", "_n", "_by")

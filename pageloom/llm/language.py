@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import decoded
+from .common import bounded_sample, decoded
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -233,9 +233,8 @@ class Scorer:
 def fit(docs: DataFrame, learn: Column, p: Params = Params(), lang: str = "lang") -> Model:
     """Learns from at most ``per_language`` documents of each language, picked by hash of the text."""
     rows = docs.filter(learn & F.col(lang).isNotNull() & F.col("text").isNotNull()).select(F.col(lang).alias("lang"), "text")
-    picks = (rows.select("lang", F.xxhash64("text").alias("h"))
-             .withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(13), "h"), "h")))
-             .filter(F.col("_r") <= p.per_language).select("lang", "h").distinct())
+    texts = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    picks = bounded_sample(texts, "lang", F.xxhash64(F.lit(13), "h"), p.per_language)
     chosen = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(picks), ["lang", "h"]).dropDuplicates(["lang", "h"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

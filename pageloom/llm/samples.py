@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, per_class_sample
+from .common import blocks, bounded_sample
 from .ngrams import Hasher
 
 FEATURES = "struct<ids:binary,n:binary>"
@@ -45,8 +45,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most
 
     Labels other than 0 and 1, null ids and ids without a document are left out. Only the bounded list of ids is broadcast.
     """
-    picked = per_class_sample(labels.filter(learn & F.col("doc_id").isNotNull()), "doc_id", label, most)
-    named = picked.select("doc_id", F.col(label).alias("label"))
+    usable = labels.filter(learn & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
+    named = bounded_sample(usable, "label", F.xxhash64(F.lit(11), "doc_id"), most)
     return docs.select("doc_id", "text").join(F.broadcast(named), "doc_id")
 
 
