@@ -22,8 +22,12 @@ HIT = """hit AS (SELECT a.doc_id,a.page_idx,a.block_id,a.type ta,b.type tb,a.ar
   (LEAST(a.x1,b.x1)-GREATEST(a.x0,b.x0))*(LEAST(a.y1,b.y1)-GREATEST(a.y0,b.y0)) inter
   FROM k a JOIN k b ON a.doc_id=b.doc_id AND a.page_idx=b.page_idx AND a.block_id<>b.block_id
   AND a.x0<=b.x1 AND b.x0<=a.x1 AND a.y0<=b.y1 AND b.y0<=a.y1)"""
-KEEP = """SELECT doc_id,page_idx,block_id FROM k WHERE {only} NOT EXISTS (SELECT 1 FROM hit h WHERE h.doc_id=k.doc_id AND h.page_idx=k.page_idx
-  AND h.block_id=k.block_id AND {rule})"""
+KEEP = """SELECT doc_id,page_idx,block_id FROM (SELECT * FROM k {only}) z
+  ANTI JOIN (SELECT DISTINCT doc_id,page_idx,block_id FROM hit WHERE {rule}) h USING (doc_id,page_idx,block_id)"""
+# Blocks below a wide discarded block that starts low enough on the page.
+UNDER = """low AS (SELECT DISTINCT k.doc_id,k.page_idx,k.block_id,1 hit FROM (SELECT * FROM k WHERE type<>'discarded') k
+  JOIN (SELECT * FROM k WHERE type='discarded' AND (x1-x0)*{share}>612 AND y1-y0>10 AND y0*10>{tenths}*792) f
+  ON f.doc_id=k.doc_id AND f.page_idx=k.page_idx AND k.y0>=f.y1 AND GREATEST(LEAST(k.x1,f.x1)-GREATEST(k.x0,f.x0),0)*10>=8*(k.x1-k.x0))"""
 OUT = ["doc_id", "page_idx", "block_id"]
 
 
@@ -48,7 +52,7 @@ def j7(t):
     return B.drop_titles_under_text(copied(t)).select(*OUT)
 
 
-@query("J8_block_on_discarded", ["dets"], KEEP.format(only="type<>'discarded' AND", rule="tb='discarded' AND inter*10>6*aa"), BLOCKS + "," + HIT)
+@query("J8_block_on_discarded", ["dets"], KEEP.format(only="WHERE type<>'discarded'", rule="tb='discarded' AND inter*10>6*aa"), BLOCKS + "," + HIT)
 def j8(t):
     k = typed(t)
     return B.drop_blocks_on_discarded(k.where("type <> 'discarded'"), k.where("type = 'discarded'")).select(*OUT)
@@ -66,9 +70,8 @@ def pf8(t):
 
 
 @query("J10_blocks_under_footnote", ["dets"], """
-SELECT doc_id,page_idx,block_id,EXISTS (SELECT 1 FROM k f WHERE f.type='discarded' AND (f.x1-f.x0)*5>612 AND f.y1-f.y0>10 AND f.y0*10>2*792
-  AND f.doc_id=k.doc_id AND f.page_idx=k.page_idx AND k.y0>=f.y1
-  AND GREATEST(LEAST(k.x1,f.x1)-GREATEST(k.x0,f.x0),0)*10>=8*(k.x1-k.x0)) under FROM k WHERE type<>'discarded'""", BLOCKS)
+SELECT doc_id,page_idx,block_id,hit IS NOT NULL under FROM k LEFT JOIN low USING (doc_id,page_idx,block_id) WHERE type<>'discarded'""",
+       BLOCKS + "," + UNDER.format(share="5", tenths="2"))
 def j10(t):
     k = typed(t)
     b = g.box()
@@ -79,9 +82,8 @@ def j10(t):
 
 @query("SE5_move_to_discarded", ["dets"], """
 SELECT doc_id,page_idx,COUNT(CASE WHEN type='discarded' OR under THEN 1 END) n_discarded,COUNT(CASE WHEN type<>'discarded' AND NOT under THEN 1 END) n_blocks
-FROM (SELECT k.*,EXISTS (SELECT 1 FROM k f WHERE f.type='discarded' AND k.type<>'discarded' AND (f.x1-f.x0)*3>612 AND f.y1-f.y0>10 AND f.y0*10>7*792
-  AND f.doc_id=k.doc_id AND f.page_idx=k.page_idx AND k.y0>=f.y1
-  AND GREATEST(LEAST(k.x1,f.x1)-GREATEST(k.x0,f.x0),0)*10>=8*(k.x1-k.x0)) under FROM k) z GROUP BY 1,2""", BLOCKS)
+FROM (SELECT k.*,hit IS NOT NULL under FROM k LEFT JOIN low USING (doc_id,page_idx,block_id)) z GROUP BY 1,2""",
+       BLOCKS + "," + UNDER.format(share="3", tenths="7"))
 def se5(t):
     k = typed(t)
     discarded = k.where("type = 'discarded'")

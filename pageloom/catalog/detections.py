@@ -238,9 +238,8 @@ IOU = """ap AS (SELECT a.doc_id,a.page_idx,a.det_id i,b.det_id j,a.score_m si,b.
 
 
 @query("J1_remove_high_iou_low_score", ["dets"], f"""
-SELECT {COLS} FROM dets e WHERE NOT EXISTS (SELECT 1 FROM ap WHERE ap.doc_id=e.doc_id AND ap.page_idx=e.page_idx
-  AND ci IN (0,1,3,4,5,6,7,8,9) AND cj IN (0,1,3,4,5,6,7,8,9) AND inter*10>9*(ai+aj-inter)
-  AND CASE WHEN si<sj THEN i ELSE j END=e.det_id)""", "d AS (SELECT * FROM dets)," + IOU)
+SELECT {COLS} FROM dets e ANTI JOIN (SELECT DISTINCT doc_id,page_idx,CASE WHEN si<sj THEN i ELSE j END det_id FROM ap
+  WHERE ci IN (0,1,3,4,5,6,7,8,9) AND cj IN (0,1,3,4,5,6,7,8,9) AND inter*10>9*(ai+aj-inter)) l USING (doc_id,page_idx,det_id)""", "d AS (SELECT * FROM dets)," + IOU)
 def j1(t):
     return _bare(D.drop_high_iou(scored(t)))
 
@@ -270,8 +269,8 @@ def j3(t):
 
 
 @query("J4_drop_contained", ["dets"], f"""
-SELECT {COLS} FROM dets e WHERE NOT EXISTS (SELECT 1 FROM dets o WHERE o.doc_id=e.doc_id AND o.page_idx=e.page_idx AND o.det_id<>e.det_id
- AND o.category_id=e.category_id AND e.x0>=o.x0 AND e.y0>=o.y0 AND e.x1<=o.x1 AND e.y1<=o.y1)""")
+SELECT {COLS} FROM dets z ANTI JOIN (SELECT DISTINCT e.doc_id,e.page_idx,e.det_id FROM dets e JOIN dets o ON o.doc_id=e.doc_id AND o.page_idx=e.page_idx
+ AND o.category_id=e.category_id AND o.det_id<>e.det_id AND e.x0>=o.x0 AND e.y0>=o.y0 AND e.x1<=o.x1 AND e.y1<=o.y1) l USING (doc_id,page_idx,det_id)""")
 def j4(t):
     return _bare(D.drop_contained(t.dets, ["category_id"]))
 
@@ -333,7 +332,7 @@ lost AS (SELECT doc_id,page_idx,UNNEST(gone) id FROM (SELECT doc_id,page_idx,ARG
 
 
 @query("J28_filter_formula_boxes", ["dets"], f"""
-SELECT {COLS} FROM dets x WHERE NOT EXISTS (SELECT 1 FROM lost l WHERE l.doc_id=x.doc_id AND l.page_idx=x.page_idx AND l.id=x.det_id)""",
+SELECT {COLS} FROM dets x ANTI JOIN (SELECT DISTINCT doc_id,page_idx,id AS det_id FROM lost) l USING (doc_id,page_idx,det_id)""",
        "d AS (SELECT * FROM dets)," + IOU + """,
 conflict AS (SELECT doc_id,page_idx,i,j,CASE WHEN si<sj THEN i ELSE j END loser FROM ap WHERE inter*10>8*(ai+aj-inter))""" + "," + ELIMINATE)
 def j28(t):

@@ -16,9 +16,9 @@ def text_pages(t):
 
 KINDS = """
 pg AS (SELECT doc_id,page_idx,STRING_AGG(txt2,chr(10) ORDER BY line_no) AS text,MAX(img_pct)/100.0 share FROM page_text GROUP BY 1,2),
-sm AS (SELECT *,REPLACE(text,chr(10),'') fl,ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY MD5(doc_id||'-'||page_idx),page_idx) rn FROM pg),
+sm AS (SELECT *,REPLACE(text,chr(10),'') fl FROM pg),
 ft AS (SELECT doc_id,AVG(LENGTH(REGEXP_REPLACE(text,'\\s+','','g'))) solid,SUM(LEN(REGEXP_EXTRACT_ALL(fl,'\\(cid:\\d+\\)'))) g,SUM(LENGTH(fl)) c,
-  SUM(LENGTH(fl)-LENGTH(REGEXP_REPLACE(fl,'\\(cid:\\d+\\)','','g'))) gc,AVG(CASE WHEN share>=0.8 THEN 1.0 ELSE 0 END) cov FROM sm WHERE rn<=10 GROUP BY 1),
+  SUM(LENGTH(fl)-LENGTH(REGEXP_REPLACE(fl,'\\(cid:\\d+\\)','','g'))) gc,AVG(CASE WHEN share>=0.8 THEN 1.0 ELSE 0 END) cov FROM sm GROUP BY 1),
 kd AS (SELECT d.doc_id,d.lang,CASE WHEN solid IS NULL OR solid<50 OR CAST(g AS DOUBLE)/(g+c-gc)>0.05 OR cov>=0.8 OR d.doc_id%31=0 THEN 'ocr' ELSE 'txt' END kind FROM documents d LEFT JOIN ft USING (doc_id))"""
 
 

@@ -11,14 +11,14 @@ from .blocks import BLOCKS, FIT, SPANS, page_spans, typed
 from .detections import ELIMINATE, IOU
 
 IDS = ["doc_id", "page_idx", "span_id"]
-LEFT = """SELECT doc_id,page_idx,det_id span_id FROM dets x WHERE NOT EXISTS (SELECT 1 FROM lost l WHERE l.doc_id=x.doc_id
- AND l.page_idx=x.page_idx AND l.id=x.det_id)"""
+LEFT = """SELECT doc_id,page_idx,det_id span_id FROM dets x
+ ANTI JOIN (SELECT DISTINCT doc_id,page_idx,id AS det_id FROM lost) l USING (doc_id,page_idx,det_id)"""
 
 
 @query("J13_remove_outside_spans", ["dets"], """
-SELECT s.doc_id,s.page_idx,s.span_id FROM s WHERE EXISTS (SELECT 1 FROM fit f WHERE f.doc_id=s.doc_id AND f.page_idx=s.page_idx AND f.span_id=s.span_id
- AND ((kt='discarded' AND inter*10>4*f.ar) OR (inter*10>5*f.ar AND kt<>'discarded' AND
-   CASE st WHEN 'image' THEN kt='image_body' WHEN 'table' THEN kt='table_body' ELSE kt NOT IN ('image_body','table_body') END)))""",
+SELECT doc_id,page_idx,span_id FROM s SEMI JOIN (SELECT DISTINCT doc_id,page_idx,span_id FROM fit f WHERE
+ ((kt='discarded' AND inter*10>4*f.ar) OR (inter*10>5*f.ar AND kt<>'discarded' AND
+   CASE st WHEN 'image' THEN kt='image_body' WHEN 'table' THEN kt='table_body' ELSE kt NOT IN ('image_body','table_body') END))) z USING (doc_id,page_idx,span_id)""",
        SPANS + "," + BLOCKS + "," + FIT)
 def j13(t):
     k = typed(t)

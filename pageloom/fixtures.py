@@ -95,8 +95,8 @@ SELECT o_orderkey task_id,CAST(o_custkey%5 AS BIGINT) priority,
   CASE WHEN o_orderkey%6 IN (2,5) THEN CONCAT('/out/',CAST(o_orderkey AS STRING)) END result_path FROM orders""", None),
     # text layer of pages, some of it broken.
     "page_text": (["lines"], """
-SELECT doc_id,page_idx,line_no,CASE WHEN doc_id%9=0 THEN CONCAT(SUBSTRING(txt,1,40),'(cid:12)')
-  WHEN doc_id%7=0 THEN SUBSTRING(txt,1,1) ELSE txt END txt2,(doc_id*37+page_idx*11)%100 img_pct FROM lines""", None),
+SELECT doc_id,page_idx,line_no,CASE WHEN doc_id%9=0 THEN CONCAT(txt,REPEAT('(cid:12)',1+CAST(FLOOR(LENGTH(txt)/16) AS INT)))
+  WHEN doc_id%7=0 THEN CASE WHEN LENGTH(txt)<12 THEN txt ELSE '' END ELSE txt END txt2,(doc_id*37+page_idx*11)%100 img_pct FROM lines""", None),
     # F8: Markdown lines with image links.
     "md_refs": (["lines"], """
 SELECT doc_id,line_no,CONCAT(txt,' ![fig](images/',MD5(CAST(doc_id AS STRING)),'.jpg)') md FROM lines""", None),
@@ -172,7 +172,7 @@ def closure(names: list[str]) -> list[str]:
 
 def oracle(names: list[str], body: str, ctes: str = "") -> str:
     """DuckDB SQL: the fixtures as CTEs, further CTEs, then ``body``."""
-    parts = [f"{n} AS ({FIXTURES[n][2] or FIXTURES[n][1]})" for n in closure(names)]
+    parts = [f"{n} AS MATERIALIZED ({FIXTURES[n][2] or FIXTURES[n][1]})" for n in closure(names)]
     if ctes.strip():
         parts.append(ctes.strip())
     return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body.strip()

@@ -81,7 +81,6 @@ def html_cells(source: str | None):
 
 # Full-width forms and their ASCII twins, for comparing texts.
 _NARROW = {c + 0xFEE0: c for c in range(0x21, 0x7F)}
-HEADER_ROWS = 5
 
 
 def _squeezed(text: str) -> str:
@@ -119,7 +118,7 @@ class Table:
 
 
 def common_header_rows(a: Table, b: Table) -> int:
-    """Leading rows (five at most) alike in width reached, spans and squeezed text; if none, in
+    """Leading rows alike in width reached, spans and squeezed text; if none, in
     width and text only."""
 
     def alike(r: int, spans: bool) -> bool:
@@ -130,7 +129,7 @@ def common_header_rows(a: Table, b: Table) -> int:
             and (not spans or (p["rowspan"], p["colspan"]) == (q["rowspan"], q["colspan"]))
             for p, q in zip(a.cells(r), b.cells(r)))
 
-    limit = min(len(a.rows), len(b.rows), HEADER_ROWS)
+    limit = min(len(a.rows), len(b.rows))
     for spans in (True, False):
         n = next((r for r in range(limit) if not alike(r, spans)), limit)
         if n:

@@ -175,7 +175,7 @@ def clean_formulas(df: DataFrame, source: str = "tex", out: str = "clean") -> Da
     return _through(
         df, source, out, drop_loose_braces, valid_delimiters, balance_left_right, balance_environments,
         lambda t: replace_commands(drop_unsupported(drop_up_prefix(t))),
-        lambda t: F.regexp_replace(F.regexp_replace(space_backslashes(t), r"\\qquad(?!\s)", r"\\qquad "), r"\\+$", ""))
+        lambda t: F.regexp_replace(F.regexp_replace(space_backslashes(t), r"\\qquad(?!\s)", r"\\qquad "), r"\\+\z", ""))
 
 
 def clean_recognised_formulas(df: DataFrame, source: str = "tex", out: str = "clean") -> DataFrame:

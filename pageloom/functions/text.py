@@ -56,9 +56,12 @@ def escape_markdown(text: Column) -> Column:
     return F.regexp_replace(text, r"([*`~$])", r"\\$1")
 
 
+BLANK = r"(?U)\s"  # any white space of Unicode, no-break and ideographic spaces too; the one definition of all operators
+
+
 def strip(text: Column) -> Column:
     """White space off both ends, line breaks included."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
 
 
 def wrap_formula(tex: Column, display: bool = False, left: str | None = None, right: str | None = None) -> Column:
@@ -70,13 +73,13 @@ def wrap_formula(tex: Column, display: bool = False, left: str | None = None, ri
 
 def is_cjk(text: Column, share: float = 0.3) -> Column:
     """FN14: enough Han, Kana or Hangul among the characters that are not blank."""
-    solid = F.length(F.regexp_replace(text, r"\s", ""))
+    solid = F.length(F.regexp_replace(text, BLANK, ""))
     return F.coalesce(F.try_divide(F.regexp_count(text, F.lit(CJK)).cast("double"), solid.cast("double")) >= share, F.lit(False))
 
 
 def strip_display_marks(tex: Column) -> Column:
     r"""FN8: no \[ at the start, no \] at the end."""
-    return strip(F.regexp_replace(F.regexp_replace(tex, r"^\\\[", ""), r"\\\]$", ""))
+    return strip(F.regexp_replace(F.regexp_replace(tex, r"^\\\[", ""), r"\\\]\z", ""))
 
 
 def strip_code_fence(code: Column) -> Column:

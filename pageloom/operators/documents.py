@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
+
 # Recogniser families and the language codes they serve.
 LANGUAGE_FAMILIES = {
     "latin": [
@@ -24,25 +26,17 @@ LANGUAGE_FAMILIES = {
 FAMILY_ORDER = ["latin", "east_slavic", "arabic", "cyrillic", "devanagari"]
 
 
-def sample_pages(pages: DataFrame, most: int = 10) -> DataFrame:
-    """Up to ten pages of each document, chosen by hash: as good as random, and the same every time."""
-    key = F.md5(F.concat_ws("-", "doc_id", "page_idx").cast("binary"))
-    w = Window.partitionBy("doc_id").orderBy(key, "page_idx")
-    return pages.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= most).drop("rn")
-
-
 def classify_documents(docs: DataFrame, pages: DataFrame) -> DataFrame:
-    """AG1: (doc_id, kind) with kind ``txt`` or ``ocr``.
+    """AG1: (doc_id, kind) with kind ``txt`` or ``ocr``, judged on all pages.
 
     ``pages``: doc_id, page_idx, text, image_share. Scanned: no pages, fewer than 50 solid characters
     a page, over 5 % unmapped glyphs, at least 80 % of pages nearly covered by images, or
     ``extractable`` false.
     """
-    sample = sample_pages(pages)
     flat = F.replace("text", F.lit("\n"), F.lit(""))
     glyphs = F.regexp_count(flat, F.lit(r"\(cid:\d+\)"))
-    facts = sample.groupBy("doc_id").agg(
-        F.avg(F.length(F.regexp_replace("text", r"\s+", ""))).alias("solid"),
+    facts = pages.groupBy("doc_id").agg(
+        F.avg(F.length(F.regexp_replace("text", tx.BLANK + "+", ""))).alias("solid"),
         F.sum(glyphs).alias("glyphs"), F.sum(F.length(flat)).alias("chars"),
         F.sum(F.length(flat) - F.length(F.regexp_replace(flat, r"\(cid:\d+\)", ""))).alias("glyph_chars"),
         F.avg((F.least("image_share", F.lit(1.0)) >= 0.8).cast("double")).alias("covered"))

@@ -106,16 +106,15 @@ def row_shapes(cells: DataFrame, keys: list[str] = TABLE) -> DataFrame:
     return own.join(reached, [*keys, "row_no"])
 
 
-def header_rows(first: DataFrame, second: DataFrame, keys: list[str] = TABLE, most: int = 5) -> DataFrame:
+def header_rows(first: DataFrame, second: DataFrame, keys: list[str] = TABLE) -> DataFrame:
     """Leading rows that two tables of one key share: alike in cells, spans, columns reached and
     squeezed text; if none, alike in columns reached and text."""
 
     def rows(cells: DataFrame, name: str) -> DataFrame:
-        squeezed = F.regexp_replace(tx.full_to_half(F.col("text")), r"\s", "")
-        top = cells.where(F.col("r0") < most)
-        content = top.groupBy(*keys, F.col("r0").alias("row_no")).agg(
+        squeezed = F.regexp_replace(tx.full_to_half(F.col("text")), tx.BLANK, "")
+        content = cells.groupBy(*keys, F.col("r0").alias("row_no")).agg(
             F.array_sort(F.collect_list(F.struct("c0", (F.col("r1") - F.col("r0")).alias("down"), (F.col("c1") - F.col("c0")).alias("right"), squeezed.alias("t")))).alias("cs"))
-        shapes = row_shapes(cells, keys).where(F.col("row_no") < most).select(*keys, "row_no", "reached")
+        shapes = row_shapes(cells, keys).select(*keys, "row_no", "reached")
         return content.join(shapes, [*keys, "row_no"]).select(
             *keys, "row_no", F.col("reached").alias(f"{name}_reached"), F.transform("cs", lambda c: F.struct(c["down"], c["right"], c["t"])).alias(f"{name}_cells"),
             F.col("cs")["t"].alias(f"{name}_texts"))

@@ -53,7 +53,7 @@ def next_tasks(tasks: DataFrame, n: int = 1) -> DataFrame:
 def newest_tasks(tasks: DataFrame, status: str | None = None, n: int = 100) -> DataFrame:
     """SO4: the newest n tasks, of one status or of all."""
     chosen = tasks if status is None else tasks.where(F.col("status") == status)
-    return chosen.orderBy(F.desc("created_at"), "task_id").limit(min(n, 1000))
+    return chosen.orderBy(F.desc("created_at"), "task_id").limit(n)
 
 
 def reset_stale(tasks: DataFrame, now: Column, minutes: int = 60) -> DataFrame:

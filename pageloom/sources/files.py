@@ -104,7 +104,7 @@ def read_middle(spark: SparkSession, folder: str, keys: str = "doc_id bigint") -
 
 
 def read_result_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """SC14: every .md and .txt file of a result tree, once."""
+    """SC14: every .md and .txt file of a result tree, once. A file that cannot be read fails the job; none is left out silently."""
     return (
-        spark.read.option("ignoreCorruptFiles", "true")
+        spark.read
         .text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.{md,txt}").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
