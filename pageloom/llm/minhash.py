@@ -4,11 +4,12 @@
 * A representative has one bucket per band. In each bucket all members are compared with the smallest one only (a star). Links are
   first judged by one bit of each minimum (a fixed 32 bytes per document), then on the full shingle sets.
 * Components of the confirmed links come from alternating large-star and small-star rounds.
-* Members of a bucket that a star left in different components are then compared with each other, save that two members of the
-  bucket's largest component never are. So a crowd of near copies is settled by its star, and still no pair of a bucket whose
-  link could change the result goes unchecked.
+* What a star left in different components is compared in blocks: representatives that met the same smallest member make blocks of
+  a bounded number of shingles, and blocks that share such a bucket are compared as a whole, first by signatures and, if any pair may
+  reach the limit, on the full sets. So no pair of a bucket whose link could change the result goes unchecked, a crowd of copies that
+  all lie just below the limit costs rows by blocks and not by pairs, and only links are returned.
 
-No step gathers a bucket, class or component in one task. Buckets' largest members are found by aggregation.
+No step gathers a bucket, class or component in one task.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ class Params:
     bands: int = 48
     rows: int = 6  # minima per band: 0.75 ** 6 a band, so a link at the limit is missed with probability 8e-5
     floor: float = 0.5  # least similarity by the 256 signature bits to go on to the exact check; the limit lies 6 deviations above
+    block_floor: float = 0.6  # the same by all minima, again 6 deviations
+    block: int = 20_000  # shingles of a block, more only if a single text has more
 
 
 def shingles(text: memoryview | None, size: int) -> np.ndarray:
@@ -70,13 +73,13 @@ def signature(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def sketch(text: str, p: Params) -> Column:
-    """struct(n_shingles, digest, bands, bits) of each whole text: set size, 128-bit digest of the set (null if empty), one hash per
-    band, and the lowest bit of 256 minima."""
+    """struct(n_shingles, digest, bands, bits, signature) of each whole text: set size, 128-bit digest of the set (null if empty), one
+    hash per band, a bit of each of 256 minima, and a byte of each minimum."""
     count = max(p.bands * p.rows, 256)
     a = _RNG_PARAMS[0][:count]
     b = _RNG_PARAMS[1][:count]
 
-    @F.arrow_udf("struct<n_shingles:long,digest:binary,bands:array<long>,bits:array<long>>")
+    @F.arrow_udf("struct<n_shingles:long,digest:binary,bands:array<long>,bits:array<long>,signature:binary>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import xxhash
 
@@ -86,16 +89,17 @@ def sketch(text: str, p: Params) -> Column:
                 for t in block:
                     found = shingles(t, p.shingle)
                     if not len(found):
-                        rows.append((0, None, [], []))
+                        rows.append((0, None, [], [], None))
                         continue
                     least = signature(found, a, b)
                     banded = least[:p.bands * p.rows].reshape(p.bands, p.rows)
                     keys = [xxhash.xxh3_64_intdigest(row.tobytes(), seed=k) >> 1 for k, row in enumerate(banded)]
-                    bits = np.packbits(_spread(least[:256]) & 1).view(np.int64).tolist()
-                    rows.append((len(found), xxhash.xxh3_128_digest(found.tobytes()), keys, bits))
-            names = ("n_shingles", "digest", "bands", "bits")
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(4)], list(names))
+                    mixed = _spread(least)
+                    bits = np.packbits(mixed[:256] & 1).view(np.int64).tolist()
+                    rows.append((len(found), xxhash.xxh3_128_digest(found.tobytes()), keys, bits, mixed.tobytes()))
+            names = ("n_shingles", "digest", "bands", "bits", "signature")
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+            yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(5)], list(names))
 
     return run(F.col(text))
 
@@ -104,11 +108,11 @@ _RNG_PARAMS = (_RNG.integers(0, 2**64, 4096, dtype=np.uint64) | np.uint64(1), _R
 
 
 def _spread(minima: np.ndarray) -> np.ndarray:
-    """Minima are small numbers near zero for big sets; their low bits are mixed so that unequal minima agree in half the cases."""
+    """A byte of each minimum. Minima are small numbers for big sets, so they are mixed first: unequal ones agree by chance only."""
     x = minima.astype(np.uint32)
     x = (x ^ (x >> np.uint32(16))) * np.uint32(0x7FEB352D)
     x = (x ^ (x >> np.uint32(15))) * np.uint32(0x846CA68B)
-    return ((x ^ (x >> np.uint32(16))) & np.uint32(1)).astype(np.uint8)
+    return ((x ^ (x >> np.uint32(16))) & np.uint32(255)).astype(np.uint8)
 
 
 def similar(left: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
@@ -197,7 +201,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     rows, firsts = classes(docs, p)
     # one row per class: any row of the class's smallest id has its bands and bits, as they follow from the set alone
     reps = cut(rows.filter(F.col("digest").isNotNull()).join(firsts, "digest").filter(F.col("doc_id") == F.col("id"))
-               .dropDuplicates(["digest"]).select("digest", "id", "key", "n_shingles", "bands", "bits")
+               .dropDuplicates(["digest"]).select("digest", "id", "key", "n_shingles", "bands", "bits", "signature")
                .withColumn("rep", F.monotonically_increasing_id()), "minhash-reps")
     marks = reps.select(F.col("rep").alias("id"), "bits", "n_shingles")
     spread = reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "bucket"))
@@ -209,20 +213,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     links = cut(similar(likely(stars, marks, p), texts, p), "minhash-links")
     settled = components(links)
 
-    # what the stars left apart inside a bucket
-    placed = shared.join(settled, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    by_part = placed.groupBy("band", "bucket", "component").agg(F.count("*").alias("c"))
-    largest = (by_part.groupBy("band", "bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("c", "component")).alias("major"))
-               .filter(F.col("parts") > 1))
-    open_ = cut(placed.join(largest, ["band", "bucket"]).select("band", "bucket", "id", "component", "major", "least"), "minhash-open")
-    minor = open_.filter(F.col("component") != F.col("major"))
-    x = minor.select("band", "bucket", F.col("id").alias("i"), F.col("component").alias("ci"))
-    y = open_.select("band", "bucket", F.col("id").alias("j"), F.col("component").alias("cj"), "major", "least")
-    # two minor members meet once; the star has compared everyone with ``least``
-    apart = (F.col("ci") != F.col("cj")) & ((F.col("cj") == F.col("major")) | (F.col("i") < F.col("j")))
-    pairs = (x.join(y, ["band", "bucket"]).filter(apart & (F.col("i") != F.col("least")) & (F.col("j") != F.col("least")))
-             .select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct())
-    more = cut(similar(likely(pairs, marks, p), texts, p), "minhash-more")
+    more = cut(_blockwise(shared, settled, reps, texts, p), "minhash-more")
     if not more.isEmpty():
         settled = components(links.union(more))
 
@@ -235,6 +226,97 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
             .select("doc_id", "key", "n_shingles", "component", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
+def _blockwise(shared: DataFrame, settled: DataFrame, reps: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+    """Links (a, b) between members of a bucket that the stars left in different components; one for two components of a block pair."""
+    placed = shared.join(settled, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    by_part = placed.groupBy("band", "bucket", "component").agg(F.count("*").alias("c"))
+    largest = (by_part.groupBy("band", "bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("c", "component")).alias("major"))
+               .filter(F.col("parts") > 1).drop("parts"))
+    left = cut(placed.join(cut(largest, "minhash-major"), ["band", "bucket"]).select("band", "bucket", "id", "component", "major", "least"), "minhash-open")
+
+    # those that met the same smallest member go together, split by hash where they are many
+    met = left.groupBy("id").agg(F.min("least").alias("anchor"), F.max("component").alias("component"))
+    met = met.join(reps.select(F.col("rep").alias("id"), "n_shingles", "signature"), "id")
+    sizes = met.groupBy("anchor").agg(F.ceil(F.sum("n_shingles") / p.block).alias("splits"))
+    block = F.xxhash64("anchor", F.pmod(F.xxhash64("id"), F.col("splits")))
+    blocked = cut(met.join(sizes, "anchor").select("id", "component", "signature", block.alias("block")), "minhash-blocks")
+
+    touched = (left.join(blocked.select("id", "block"), "id").groupBy("band", "bucket", "block")
+               .agg(F.max(F.col("component") != F.col("major")).alias("minor")))
+    one = touched.select("band", "bucket", F.col("block").alias("x"), F.col("minor").alias("mx"))
+    two = touched.select("band", "bucket", F.col("block").alias("y"), F.col("minor").alias("my"))
+    meet = (one.join(two, ["band", "bucket"]).filter((F.col("x") <= F.col("y")) & (F.col("mx") | F.col("my"))).select("x", "y").distinct())
+
+    marks = blocked.groupBy("block").agg(F.collect_list(F.struct("component", "signature")).alias("c"))
+    maybe = cut(_block_pairs(meet, marks).filter(_any_likely(p)("cx", "cy")).select("x", "y"), "minhash-likely-blocks")
+    used = maybe.select(F.col("x").alias("block")).union(maybe.select("y")).distinct()
+    sets = (blocked.drop("signature").join(used, "block", "left_semi").join(texts, "id").withColumn("s", _packed_set(p)("text"))
+            .groupBy("block").agg(F.collect_list(F.struct("id", "component", "s")).alias("c")))
+    return _block_pairs(maybe, cut(sets, "minhash-block-sets")).select(F.explode(_block_links(p)("cx", "cy")).alias("l")).select("l.a", "l.b").distinct()
+
+
+def _block_pairs(pairs: DataFrame, content: DataFrame) -> DataFrame:
+    return (pairs.join(content.select(F.col("block").alias("x"), F.col("c").alias("cx")), "x")
+            .join(content.select(F.col("block").alias("y"), F.col("c").alias("cy")), "y"))
+
+
+def _packed_set(p: Params):
+    @F.arrow_udf("binary")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([shingles(t, p.shingle).tobytes() for block in blocks(batch) for t in block], pa.binary())
+
+    return run
+
+
+def _any_likely(p: Params):
+    @F.arrow_udf("boolean")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for left, right in batches:
+            out = []
+            for x, y in zip(left, right):
+                x, y = x.as_py(), y.as_py()
+                apart = np.array([r["component"] for r in x])[:, None] != np.array([r["component"] for r in y])[None, :]
+                a, b = (np.frombuffer(b"".join(r["signature"] for r in z), np.uint8).reshape(len(z), -1) for z in (x, y))
+                out.append(any(bool((((row == b).mean(axis=1) >= p.block_floor) & apart[k]).any()) for k, row in enumerate(a) if apart[k].any()))
+            yield pa.array(out, pa.bool_())
+
+    return run
+
+
+def _block_links(p: Params):
+    @F.arrow_udf("array<struct<a:long,b:long>>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+        for left, right in batches:
+            yield pa.array([_links_between(x.as_py(), y.as_py(), p.percent) for x, y in zip(left, right)], kind)
+
+    return run
+
+
+def _links_between(x: list[dict], y: list[dict], percent: int) -> list[tuple[int, int]]:
+    """Exact comparison of two blocks: sizes of all intersections as a product of membership matrices over the shared shingles."""
+    sets = [[np.frombuffer(r["s"], np.uint64) for r in z] for z in (x, y)]
+    sizes = [np.array([len(s) for s in z], np.int64) for z in sets]
+    flat = [np.concatenate(z) for z in sets]
+    common = np.intersect1d(flat[0], flat[1])
+    members = []
+    for values, n in zip(flat, sizes):
+        at = np.minimum(np.searchsorted(common, values), max(len(common) - 1, 0))
+        known = common[at] == values if len(common) else np.zeros(len(values), bool)
+        matrix = np.zeros((len(n), len(common)), np.float32)
+        matrix[np.repeat(np.arange(len(n)), n)[known], at[known]] = 1
+        members.append(matrix)
+    both = (members[0] @ members[1].T).round().astype(np.int64)
+    found = (both > 0) & (100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both))
+    links = {}
+    for i, j in zip(*np.nonzero(found)):
+        if x[i]["component"] != y[j]["component"]:
+            parts = tuple(sorted((x[i]["component"], y[j]["component"])))
+            links.setdefault(parts, tuple(sorted((x[i]["id"], y[j]["id"]))))
+    return list(links.values())
+
+
 def _texts(docs: DataFrame, reps: DataFrame, shared: DataFrame) -> DataFrame:
     """(id, text) of the representatives that share a bucket."""
     wanted = reps.select(F.col("rep").alias("id"), F.col("id").alias("doc_id"), "key").join(shared.select("id").distinct(), "id", "left_semi")
