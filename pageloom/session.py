@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import re
 import tempfile
@@ -53,6 +55,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_written: list[str] = []
+
+
+def _remove_written() -> None:
+    """At the end of the application its intermediate tables go, by Spark's own file systems."""
+    with contextlib.suppress(Exception):  # the JVM may have ended first
+        spark = SparkSession.getActiveSession()
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _written:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read it back.
 
@@ -60,5 +75,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     filter pushdown, which an RDD checkpoint would not give.
     """
     path = os.path.join(checkpoint_root(df.sparkSession), f"{name}-{uuid.uuid4().hex[:12]}")
+    if not _written:
+        atexit.register(_remove_written)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
