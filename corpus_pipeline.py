@@ -32,8 +32,11 @@ def full(slimmed: DataFrame, columns: list[str]) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages. Those that are ``und`` (null text, or no letter) or whose best language has not half
-    of the score go. Languages are learned from ``docs`` itself (fold 2 of 4 aside); ``lang`` keeps its given value."""
+    of the score go. Languages are learned from ``docs`` itself (fold 2 of 4 aside); ``lang`` keeps its given value. If no row names a
+    language there is nothing to tell apart, and all texts with a letter stay."""
     model = language.fit(docs, fold("doc_id", 4) != 2)
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = slim(docs).withColumn("_l", language.identify(model, "text"))
     kept = found.filter((F.col("_l.lang_pred") != language.UNKNOWN) & (F.col("_l.score") >= LEAST_LANGUAGE_SCORE))
     return full(kept, docs.columns)

@@ -54,6 +54,11 @@ def test_stages_keep_clean_documents_and_columns(spark, documents, clashing, pro
     assert all(r.offset + r.length <= 1024 for r in packed)
 
 
+def test_texts_stay_if_no_language_is_named(spark, documents, tmp_path):
+    docs = documents([(1, "some text"), (2, "12"), (3, None)], lang=None)
+    assert [r.doc_id for r in corpus_pipeline.language_id(spark, docs, str(tmp_path)).collect()] == [1]
+
+
 def test_stages_on_empty_tables(spark, documents, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = documents([])
