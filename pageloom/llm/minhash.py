@@ -218,8 +218,9 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
         settled = components(links.union(more))
 
     rooted = reps.select("digest", F.col("rep").alias("id"), F.col("id").alias("first")).join(settled, "id", "left")
-    rooted = rooted.withColumn("component", F.coalesce("component", "id"))
-    smallest = rooted.groupBy("component").agg(F.min("first").alias("component_id"))
+    rooted = cut(rooted.withColumn("component", F.coalesce("component", "id")), "minhash-rooted")
+    # written, so that the join sees its size and can split a component that has very many members
+    smallest = cut(rooted.groupBy("component").agg(F.min("first").alias("component_id")), "minhash-smallest")
     named = rooted.join(smallest, "component").select("digest", "component", "component_id")
     return (rows.withColumn("digest", F.when(F.col("doc_id").isNotNull(), F.col("digest"))).join(named, "digest", "left")
             .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
