@@ -43,8 +43,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of repeated runs of lines. A document that had lines and lost them all goes."""
-    found = line_runs.remove_copies(slim(docs))
+    """Texts without later copies of repeated runs of lines and of single lines of 50 words or more. A document that had lines and lost them all goes."""
+    found = line_runs.remove_copies(slim(docs), line_runs.PASSAGES)
     emptied = (F.size("runs") == 1) & (F.get("runs", F.lit(0))["last"] - F.get("runs", F.lit(0))["first"] + 1 == F.col("n_lines"))
     kept = full(found.filter(~emptied), docs.columns)
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

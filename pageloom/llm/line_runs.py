@@ -12,6 +12,9 @@ by the windows of ``2**floor(log2 L)`` lines that start in it, so the union of t
 ``min_lines`` lines; that length is ranked by two overlapping windows) gives exactly the maximal runs, and only rounds up
 to the longest repeat are needed. The earliest copy of every line stays.
 
+With ``min_words`` a run of fewer than ``min_lines`` lines also counts if it has that many words, so a repeated paragraph on one
+line goes too. Its windows are the rank groups of the lengths below ``min_lines``.
+
 Only DataFrame operations are used. A hot line is many rows of equal rank; it is counted by partial aggregation and joined back.
 """
 
@@ -28,15 +31,22 @@ from .common import cut, text_key
 
 @dataclass(frozen=True)
 class Params:
-    min_lines: int = 2  # shorter repeats stay
+    min_lines: int = 2  # shorter repeats stay, unless they have min_words words
+    min_words: int | None = None  # words (between ASCII blanks) from which a shorter repeat counts; None: only lines count
     rounds: int = 40  # a run can't have more than 2**40 lines
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, line, h1, h2): each line of each distinct (doc_id, text), by 128 bits of its exact content. Null texts have none."""
+# A shorter run is a passage from 50 words on.
+PASSAGES = Params(min_words=50)
+BLANKS = r"[\x20\x09-\x0D]+"
+
+
+def lines(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """(doc_id, key, line, h1, h2, and n_words if words count): each line of each distinct (doc_id, text), by 128 bits of its exact content. Null texts have none."""
     text = docs.filter(F.col("text").isNotNull()).select("doc_id", text_key("text").alias("key"), "text")
     split = text.select("doc_id", "key", F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
-    hashed = split.select("doc_id", "key", "line", F.xxhash64("content").alias("h1"), F.xxhash64(F.lit(5), "content").alias("h2"))
+    counted = [F.size(F.filter(F.split("content", BLANKS), lambda w: w != "")).alias("n_words")] if p.min_words else []
+    hashed = split.select("doc_id", "key", "line", F.xxhash64("content").alias("h1"), F.xxhash64(F.lit(5), "content").alias("h2"), *counted)
     return hashed.dropDuplicates(["doc_id", "key", "line"])  # of repeated rows
 
 
@@ -69,15 +79,25 @@ def later_copies(ranks: DataFrame, size: int) -> DataFrame:
     return ranks.filter(F.col("rank") < F.col("place")).select("place", F.lit(size).alias("size"))
 
 
+def wordy(windows: DataFrame, seq: DataFrame, p: Params) -> DataFrame:
+    """Those of ``windows`` (place, size) whose lines have ``min_words`` words together."""
+    inside = windows.select("place", "size", F.explode(F.sequence(F.col("place"), F.col("place") + F.col("size") - 1)).alias("at"))
+    counted = inside.join(seq.select(F.col("place").alias("at"), "n_words").filter("n_words > 0"), "at").groupBy("place", "size").agg(F.sum("n_words").alias("n"))
+    return counted.filter(F.col("n") >= p.min_words).select("place", "size")
+
+
 def repeated_runs(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc_id, key, runs): for each document the maximal runs of lines that are later copies, as sorted (first, last), inclusive."""
-    rows = cut(lines(docs), "lines")
+    rows = cut(lines(docs, p), "lines")
     at = places(rows).withColumnsRenamed({"doc_id": "_d", "key": "_k"})
     seq = cut(rows.join(at, rows.doc_id.eqNullSafe(at["_d"]) & (rows.key == at["_k"])).drop("_d", "_k")
               .withColumn("place", F.col("base") + F.col("line")).drop("base"), "line-places")
     ranks = named(seq.select("place", "h1", "h2"), ["h1", "h2"], "line-rank-0")
     size, found = 1, []
     for k in range(p.rounds):
+        for least in range(size, min(2 * size, p.min_lines)) if p.min_words else ():
+            exact = ranks if least == size else named(paired(ranks, ranks, least - size), ["r1", "r2"], f"line-rank-of-{least}")
+            found.append(wordy(later_copies(exact, least), seq, p))
         if size >= p.min_lines:
             found.append(later_copies(ranks, size))
         elif p.min_lines < 2 * size:
@@ -133,7 +153,7 @@ w AS (SELECT a.doc_id, a.line, row_number() OVER (PARTITION BY a.content, b.cont
       FROM l a JOIN l b ON a.doc_id = b.doc_id AND b.line = a.line + 1),
 gone AS (SELECT DISTINCT doc_id, line + k AS line FROM w, (VALUES (0), (1)) AS t(k) WHERE later)"""
 
-ORACLE = "WITH" + REMOVED % "documents" + """,
+REPORT = """,
 isle AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, line - row_number() OVER (PARTITION BY doc_id ORDER BY line) AS g FROM gone) GROUP BY doc_id, g),
 runs AS (SELECT doc_id, sum(n) AS n_removed, count(*) AS n_runs, max(n) AS longest_run FROM isle GROUP BY doc_id),
 kept AS (SELECT doc_id, string_agg(content, chr(10) ORDER BY line) AS text FROM l ANTI JOIN gone USING (doc_id, line) GROUP BY doc_id)
@@ -143,3 +163,10 @@ SELECT d.doc_id, CAST(CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.te
        CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept.text, '')) END AS kept_sha256
 FROM documents d LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+ORACLE = "WITH" + REMOVED % "documents" + REPORT
+
+# The same, and single lines of 50 words or more that occurred before.
+PASSAGE_ORACLE = "WITH" + REMOVED.replace("gone AS", "pairs AS") % "documents" + r""",
+again AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, line) > 1 AS later FROM l),
+gone AS (SELECT doc_id, line FROM pairs UNION
+         SELECT doc_id, line FROM again WHERE later AND len(regexp_extract_all(content, '[^\x20\x09-\x0D]+')) >= 50)""" + REPORT

@@ -60,6 +60,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op4_line_dedup"] = line_runs.ORACLE
 
 
+@query
+def line_dedup_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op4 with single lines of 50 words or more, as the pipeline runs it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_runs.report(line_runs.remove_copies(docs, line_runs.PASSAGES))
+
+
+ORACLES["line_dedup_passages"] = line_runs.PASSAGE_ORACLE
+
+
 @query
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html_render.render(table(spark, sf_dir, "pages"))

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from pageloom.llm.line_runs import Params, remove_copies, repeated_runs
 
 
@@ -51,3 +52,34 @@ def test_odd_rows(documents, clashing):
 def test_no_python_in_the_plan(documents):
     plan = remove_copies(documents([(1, "a\nb"), (2, "a\nb")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def words_plain(pairs, least, words):
+    """As ``plain``, and windows of fewer lines go if they have ``words`` words."""
+    seen, out = set(), {}
+    for i, t in sorted(set(pairs)):
+        lines = t.split("\n")
+        gone = set()
+        for n in range(1, least + 1):
+            for k in range(len(lines) - n + 1):
+                window = tuple(lines[k:k + n])
+                if window in seen and (n == least or sum(len(x.split()) for x in window) >= words):
+                    gone.update(range(k, k + n))
+                seen.add(window)
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 5])
+def test_short_runs_of_many_words(documents, least):
+    r = random.Random(least)
+    pairs = [(i, "\n".join("w " * r.randrange(1, 9) + str(r.randrange(30)) for _ in range(r.randrange(1, 30)))) for i in range(60)]
+    got = {x.doc_id: x.text for x in remove_copies(documents(pairs), Params(min_lines=least, min_words=8)).collect()}
+    assert got == words_plain(pairs, least, 8)
+
+
+def test_one_line_passage_between_different_lines(spark, documents, prose, tmp_path):
+    passage, short = prose(1, 50), prose(2, 49)
+    docs = documents([(1, f"a\n{passage}\nb\n{short}\nc"), (2, f"d\n{passage}\ne\n{short}\nf"), (3, passage), (4, prose(3, 60))])
+    got = {x.doc_id: x.text for x in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()}
+    assert got == {1: f"a\n{passage}\nb\n{short}\nc", 2: f"d\ne\n{short}\nf", 4: prose(3, 60)}
