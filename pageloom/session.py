@@ -41,6 +41,22 @@ def build_session(app: str = "pageloom", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """The session with ``values`` set; afterwards as before."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield spark
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by the cluster; a private one only where none is set and one machine runs all (tests).
 
@@ -68,15 +84,21 @@ def _remove_written() -> None:
             folder.getFileSystem(conf).delete(folder, True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder, removed at the end of the application."""
+    path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    if not _written:
+        atexit.register(_remove_written)
+    _written.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read it back.
 
     Cuts lineage in a way that survives lost executors, and later readers get column pruning and
     filter pushdown, which an RDD checkpoint would not give.
     """
-    path = os.path.join(checkpoint_root(df.sparkSession), f"{name}-{uuid.uuid4().hex[:12]}")
-    if not _written:
-        atexit.register(_remove_written)
-    _written.append(path)
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
