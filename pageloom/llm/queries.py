@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_render, language, line_runs, minhash, packing, quality_embed, quality_rules, toxicity, unit_dedup
+from . import decontaminate, exact_dedup, html_render, language, line_runs, minhash, packing, quality_embed, quality_rules, toxicity, unit_dedup
 from .common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
     return scored(docs, 1, 3, toxicity.score(model, "text"), 0.7)
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLES["op11_exact_dedup"] = exact_dedup.ORACLE
