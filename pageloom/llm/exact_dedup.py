@@ -26,6 +26,7 @@ STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",  # all stores of an executor share so much memory
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "400",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each store reserves megabytes of disk, however small it is
 }
 
 
