@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_render, language, line_runs, minhash, packing, quality_embed, quality_rules, toxicity, unit_dedup
+from . import decontaminate, exact_dedup, html_render, language, line_runs, merkle, minhash, packing, quality_embed, quality_rules, ranked_search, toxicity, unit_dedup
 from .common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,19 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_exact_dedup"] = exact_dedup.ORACLE
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_ranked_search"] = ranked_search.ORACLE
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(merkle.leaves(table(spark, sf_dir, "documents"))).audit().drop("tree")
+
+
+ORACLES["op13_merkle_manifest"] = merkle.ORACLE
