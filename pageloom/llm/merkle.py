@@ -242,27 +242,27 @@ def _oracle(fanout: int = 16, inner: int = 6, outer: int = 4) -> str:
     crc = (f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), lambda a, e: xor(xor(a, e) >> 1, "
            "CASE WHEN xor(a, e) % 2 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)")
     lines = [f"""d AS (SELECT doc_id, source, {leaf_sql('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {leaf_sql(lower)} ELSE {leaf_sql('text')} END AS claim,
-  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS at FROM documents)""",
-             "n0 AS (SELECT source AS tree, at, leaf AS h, count(*) OVER (PARTITION BY source) AS c FROM d)",
-             "f0 AS (SELECT doc_id, source AS tree, at, claim AS h, '' AS others FROM d)"]
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos FROM documents)""",
+             "n0 AS (SELECT source AS tree, pos, leaf AS h, count(*) OVER (PARTITION BY source) AS c FROM d)",
+             "f0 AS (SELECT doc_id, source AS tree, pos, claim AS h, '' AS others FROM d)"]
 
     def level(k: int, nodes: str, state: str) -> None:
         # all nodes of a level and the next one; a tree with one node left stays as it is
-        lines.append(f"""n{k + 1} AS (SELECT tree, at, h, count(*) OVER (PARTITION BY tree) AS c FROM (
-  SELECT tree, at // {fanout} AS at, sha256(string_agg(h, '' ORDER BY at)) AS h FROM {nodes} WHERE c > 1 GROUP BY tree, at // {fanout}
-  UNION ALL SELECT tree, at, h FROM {nodes} WHERE c = 1))""")
-        lines.append(f"""f{k + 1} AS (SELECT s.doc_id, s.tree, CASE WHEN any_value(n.c) > 1 THEN s.at // {fanout} ELSE s.at END AS at,
-  CASE WHEN any_value(n.c) > 1 THEN sha256(string_agg(CASE WHEN n.at = s.at THEN s.h ELSE n.h END, '' ORDER BY n.at)) ELSE s.h END AS h,
-  s.others || coalesce(string_agg(CASE WHEN n.at <> s.at THEN n.h END, '' ORDER BY n.at), '') AS others
-  FROM {state} s JOIN {nodes} n ON s.tree IS NOT DISTINCT FROM n.tree AND s.at // {fanout} = n.at // {fanout}
-  GROUP BY s.doc_id, s.tree, s.at, s.h, s.others)""")
+        lines.append(f"""n{k + 1} AS (SELECT tree, pos, h, count(*) OVER (PARTITION BY tree) AS c FROM (
+  SELECT tree, pos // {fanout} AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h FROM {nodes} WHERE c > 1 GROUP BY tree, pos // {fanout}
+  UNION ALL SELECT tree, pos, h FROM {nodes} WHERE c = 1))""")
+        lines.append(f"""f{k + 1} AS (SELECT s.doc_id, s.tree, CASE WHEN any_value(n.c) > 1 THEN s.pos // {fanout} ELSE s.pos END AS pos,
+  CASE WHEN any_value(n.c) > 1 THEN sha256(string_agg(CASE WHEN n.pos = s.pos THEN s.h ELSE n.h END, '' ORDER BY n.pos)) ELSE s.h END AS h,
+  s.others || coalesce(string_agg(CASE WHEN n.pos <> s.pos THEN n.h END, '' ORDER BY n.pos), '') AS others
+  FROM {state} s JOIN {nodes} n ON s.tree IS NOT DISTINCT FROM n.tree AND s.pos // {fanout} = n.pos // {fanout}
+  GROUP BY s.doc_id, s.tree, s.pos, s.h, s.others)""")
 
     for k in range(inner):
         level(k, f"n{k}", f"f{k}")
     base = inner + 1  # the trees' roots as leaves of one tree
-    lines.append(f"sub AS (SELECT tree AS source, h, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS at FROM n{inner})")
-    lines.append(f"n{base} AS (SELECT '' AS tree, at, h, count(*) OVER () AS c FROM sub)")
-    lines.append(f"f{base} AS (SELECT f.doc_id, '' AS tree, s.at, f.h, f.others FROM f{inner} f JOIN sub s ON f.tree IS NOT DISTINCT FROM s.source)")
+    lines.append(f"sub AS (SELECT tree AS source, h, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos FROM n{inner})")
+    lines.append(f"n{base} AS (SELECT '' AS tree, pos, h, count(*) OVER () AS c FROM sub)")
+    lines.append(f"f{base} AS (SELECT f.doc_id, '' AS tree, s.pos, f.h, f.others FROM f{inner} f JOIN sub s ON f.tree IS NOT DISTINCT FROM s.source)")
     for k in range(base, base + outer):
         level(k, f"n{k}", f"f{k}")
     return "WITH " + ",\n".join(lines) + f"""
