@@ -8,7 +8,7 @@ from ..functions import geom as g
 from ..operators import blocks as B
 from ..operators import detections as D
 from . import query
-from .detections import scored
+from .detections import _grown, scored
 
 TYPES = {0: "title", 1: "text", 2: "discarded", 3: "image_body", 5: "table_body", 6: "table_caption", 8: "interline_equation"}
 CASE = "CASE category_id " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in TYPES.items()) + " END"
@@ -94,7 +94,12 @@ def se5(t):
     return both.groupBy("doc_id", "page_idx").agg(F.sum("d").alias("n_discarded"), F.sum(1 - F.col("d")).alias("n_blocks"))
 
 
-@query("J11_absorb_overlapping_blocks")
+GROWN = """SELECT g.doc_id,g.page_idx,g.id block_id,k.type,g.x0,g.y0,g.x1,g.y1 FROM grown g
+JOIN k ON k.doc_id=g.doc_id AND k.page_idx=g.page_idx AND k.block_id=g.id"""
+
+
+@query("J11_absorb_overlapping_blocks", ["dets"], GROWN,
+       BLOCKS + ",src AS (SELECT doc_id,page_idx,0 kind,block_id id,x0,y0,x1,y1,0 s FROM k)," + _grown("8"))
 def j11(t):
     return B.absorb_overlapping_blocks(typed(t))
 
@@ -104,7 +109,26 @@ def so1(t):
     return B.coarse_order(typed(t)).select(*OUT, "rank")
 
 
-@query("J7_to_J11_block_conflicts")
+def _without(name: str, source: str, rule: str, other: str) -> str:
+    """CTE ``name``: rows a of ``source`` for which no row b of ``other`` on the page meets ``rule``."""
+    return f"""{name} AS MATERIALIZED (SELECT a.* FROM {source} a ANTI JOIN (SELECT DISTINCT doc_id,page_idx,block_id FROM (
+  SELECT a.doc_id,a.page_idx,a.block_id,a.type ta,b.type tb,a.ar aa,b.ar ab,a.x1-a.x0 aw,a.y0-b.y1 below,
+   GREATEST(LEAST(a.x1,b.x1)-GREATEST(a.x0,b.x0),0) iw,GREATEST(LEAST(a.y1,b.y1)-GREATEST(a.y0,b.y0),0) ih
+  FROM {source} a JOIN {other} b ON a.doc_id=b.doc_id AND a.page_idx=b.page_idx) pp WHERE {rule}) l USING (doc_id,page_idx,block_id))"""
+
+
+CONFLICTS = ",".join([
+    BLOCKS, "b0 AS MATERIALIZED (SELECT * FROM k WHERE type<>'discarded')", "dc AS MATERIALIZED (SELECT * FROM k WHERE type='discarded')",
+    _without("b1", "b0", "ta='title' AND tb='text' AND iw*ih*10>8*(aa+ab-iw*ih)", "b0"),
+    _without("b2", "b1", "iw*ih*10>6*aa", "dc"),
+    _without("b3", "b2", "ta='text' AND tb='interline_equation' AND iw*ih*10>8*(aa+ab-iw*ih)", "b2"),
+    "fn AS MATERIALIZED (SELECT * FROM dc WHERE (x1-x0)*3>612 AND y1-y0>10 AND y0*10>7*792)",
+    _without("b4", "b3", "below>=0 AND iw*10>=8*aw", "fn"),
+    "src AS (SELECT doc_id,page_idx,0 kind,block_id id,x0,y0,x1,y1,0 s FROM b4)", _grown("8")])
+
+
+@query("J7_to_J11_block_conflicts", ["dets"], f"""
+SELECT *,ROW_NUMBER() OVER (PARTITION BY doc_id,page_idx ORDER BY x0+y0,block_id) AS rank FROM ({GROWN}) z""", CONFLICTS)
 def resolve(t):
     k = typed(t)
     kept, _, _ = B.resolve_blocks(k.where("type <> 'discarded'"), k.where("type = 'discarded'"), F.lit(612), F.lit(792))
@@ -113,9 +137,9 @@ def resolve(t):
 
 SPANS = """s AS (SELECT doc_id,page_idx,det_id span_id,x0+2 x0,y0+1 y0,x1+2 x1,y1+1 y1,(x1-x0)*(y1-y0) ar,
   CASE category_id WHEN 3 THEN 'image' WHEN 5 THEN 'table' WHEN 8 THEN 'interline_equation' WHEN 6 THEN 'inline_equation' ELSE 'text' END AS type FROM dets)"""
-FIT = """fit AS (SELECT s.doc_id,s.page_idx,s.span_id,k.block_id,s.type st,k.type kt,s.ar,
-  (LEAST(s.x1,k.x1)-GREATEST(s.x0,k.x0))*(LEAST(s.y1,k.y1)-GREATEST(s.y0,k.y0)) inter
-  FROM s JOIN k ON s.doc_id=k.doc_id AND s.page_idx=k.page_idx AND s.x0<=k.x1 AND k.x0<=s.x1 AND s.y0<=k.y1 AND k.y0<=s.y1)"""
+FIT = """fit AS (SELECT *,iw*ih inter FROM (SELECT s.doc_id,s.page_idx,s.span_id,k.block_id,s.type st,k.type kt,s.ar,
+  LEAST(s.x1,k.x1)-GREATEST(s.x0,k.x0) iw,LEAST(s.y1,k.y1)-GREATEST(s.y0,k.y0) ih
+  FROM s JOIN k ON s.doc_id=k.doc_id AND s.page_idx=k.page_idx) pp WHERE iw>=0 AND ih>=0)"""
 COMPATIBLE = """((st IN ('text','inline_equation') AND kt IN ('text','title','image_caption','image_footnote','table_caption','table_footnote','discarded'))
   OR (st='interline_equation' AND kt IN ('interline_equation','text')) OR (st='image' AND kt='image_body') OR (st='table' AND kt='table_body'))"""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -204,11 +206,6 @@ def pf25_split(t):
     return D.split_regions(t.dets).groupBy("region").agg(F.count("*").alias("n"))
 
 
-@query("PF25_layout_regions")
-def pf25(t):
-    return D.layout_regions(scored(t)).select("doc_id", "page_idx", "det_id", "region", "x0", "y0", "x1", "y1")
-
-
 @query("PF26_clip_points", ["dets"], """
 SELECT doc_id,page_idx,det_id,CAST(LEAST(x0,449) AS DOUBLE) x0,CAST(LEAST(y0,619) AS DOUBLE) y0,CAST(LEAST(x1,449) AS DOUBLE) x1,CAST(LEAST(y1+s,619) AS DOUBLE) y1 FROM (SELECT *,det_id%13 s FROM dets) z
 WHERE FLOOR(SQRT((LEAST(x1,449)-LEAST(x0,449))*(LEAST(x1,449)-LEAST(x0,449))+(LEAST(y0+s,619)-LEAST(y0,619))*(LEAST(y0+s,619)-LEAST(y0,619))))>3
@@ -244,17 +241,69 @@ def j1(t):
     return _bare(D.drop_high_iou(scored(t)))
 
 
-@query("J2_absorb_overlapping_bodies")
+# Growth in list order as a recursive walk: a page (or kind on a page) is a row of lists, and a step goes to the next pair of the list
+# that overlaps by enough (a pair is i * 10000 + j); when a box has grown its pairs are found anew.
+# src: (doc_id, page_idx, kind, id, x0, y0, x1, y1, s).
+def _grown(threshold: str, by_score: bool = False) -> str:
+    area = lambda k: f"(x1[{k}]-x0[{k}])*(y1[{k}]-y0[{k}])"
+    smaller = lambda i, j: f"CASE WHEN {area(i)}<={area(j)} THEN {i} ELSE {j} END"
+    put = ",".join(f"CASE WHEN grows THEN list_transform({c},lambda v,k: CASE WHEN k=big THEN {fn}({c}[big],{c}[small]) ELSE v END) ELSE {c} END {c}"
+                   for c, fn in (("x0", "LEAST"), ("y0", "LEAST"), ("x1", "GREATEST"), ("y1", "GREATEST")))
+    if by_score:  # boxes that are gone take no part, but for the outer one of the pairs under way
+        open_ = "NOT list_contains(gone,c%10000) AND (c//10000=cur//10000 OR NOT list_contains(gone,c//10000))"
+        loses, grows = "CASE WHEN s[small]>s[big] THEN big ELSE small END", "s[small]<=s[big] AND NOT list_contains(gone,small)"
+    else:
+        open_ = f"NOT list_contains(gone,{smaller('c//10000', 'c%10000')})"
+        loses, grows = "small", "true"
+    return f"""
+pg AS (SELECT doc_id,page_idx,kind,COUNT(*) n,LIST(id ORDER BY id) ids,LIST(x0 ORDER BY id) x0,LIST(y0 ORDER BY id) y0,LIST(x1 ORDER BY id) x1,
+  LIST(y1 ORDER BY id) y1,LIST(s ORDER BY id) s FROM src GROUP BY 1,2,3),
+num AS (SELECT *,ROW_NUMBER() OVER (PARTITION BY doc_id,page_idx,kind ORDER BY id) k FROM src),
+pr AS (SELECT a.doc_id,a.page_idx,a.kind,LIST(a.k*10000+b.k) pairs FROM num a JOIN num b ON a.doc_id=b.doc_id AND a.page_idx=b.page_idx AND a.kind=b.kind
+  AND a.k<b.k AND a.x0<b.x1 AND b.x0<a.x1 AND a.y0<b.y1 AND b.y0<a.y1 AND (LEAST(a.x1,b.x1)-GREATEST(a.x0,b.x0))*(LEAST(a.y1,b.y1)-GREATEST(a.y0,b.y0))*10
+    >{threshold}*LEAST((a.x1-a.x0)*(a.y1-a.y0),(b.x1-b.x0)*(b.y1-b.y0)) GROUP BY 1,2,3),
+w AS (SELECT doc_id,page_idx,kind,CAST(0 AS BIGINT) cur,n,ids,x0,y0,x1,y1,s,pairs,CAST([] AS BIGINT[]) gone FROM pg JOIN pr USING (doc_id,page_idx,kind)
+ UNION ALL SELECT doc_id,page_idx,kind,p,n,ids,x0,y0,x1,y1,s,CASE WHEN grows THEN list_concat(
+    list_filter(pairs,lambda c: c//10000<>big AND c%10000<>big),
+    list_transform(list_filter(generate_series(1,n),lambda m: m<>big AND x0[m]<x1[big] AND x0[big]<x1[m] AND y0[m]<y1[big] AND y0[big]<y1[m]
+      AND (LEAST(x1[m],x1[big])-GREATEST(x0[m],x0[big]))*(LEAST(y1[m],y1[big])-GREATEST(y0[m],y0[big]))*10>{threshold}*LEAST({area("m")},{area("big")})),
+     lambda m: LEAST(m,big)*10000+GREATEST(m,big))) ELSE pairs END,
+   CASE WHEN list_contains(gone,loses) THEN gone ELSE list_append(gone,loses) END FROM (
+  SELECT doc_id,page_idx,kind,p,n,ids,{put},s,pairs,gone,grows,big,loses FROM (
+   SELECT *,{loses} loses,{grows} grows FROM (SELECT *,p//10000+p%10000-small big FROM (SELECT *,{smaller("p//10000", "p%10000")} small FROM (
+    SELECT *,list_min(list_filter(pairs,lambda c: c>cur AND {open_})) p FROM w) z1 WHERE p IS NOT NULL) z2) z3) z4) z5),
+fin AS (SELECT doc_id,page_idx,kind,ARG_MAX(w,cur) w FROM w GROUP BY 1,2,3),
+grown AS (SELECT doc_id,page_idx,kind,w.ids[k] id,w.x0[k] x0,w.y0[k] y0,w.x1[k] x1,w.y1[k] y1 FROM (
+  SELECT doc_id,page_idx,kind,w,UNNEST(generate_series(1,len(w.ids))) k FROM fin) z WHERE NOT list_contains(w.gone,k)
+ UNION ALL SELECT doc_id,page_idx,kind,id,x0,y0,x1,y1 FROM src a WHERE NOT EXISTS (
+  SELECT 1 FROM pr b WHERE b.doc_id=a.doc_id AND b.page_idx=a.page_idx AND b.kind=a.kind))"""
+
+
+def tagged(ctes: str, tag: str) -> str:
+    """The CTEs of a walk under names of their own, for a query that takes several."""
+    return re.sub(r"\b(src|pg|pr|w|fin|grown|merged|num|ins|held)\b", rf"\1_{tag}", ctes)
+
+
+SRC = "src AS (SELECT doc_id,page_idx,{kind} kind,det_id id,x0,y0,x1,y1,score_m s FROM dets{where})"
+GROWN = """SELECT g.doc_id,g.page_idx,g.id det_id,d.category_id,g.x0,g.y0,g.x1,g.y1,d.score_m FROM grown g
+JOIN dets d ON d.doc_id=g.doc_id AND d.page_idx=g.page_idx AND d.det_id=g.id"""
+
+
+@query("J2_absorb_overlapping_bodies", ["dets"], GROWN + f" UNION ALL SELECT {COLS} FROM dets WHERE category_id NOT IN (3,5)",
+       SRC.format(kind="category_id", where=" WHERE category_id IN (3,5)") + "," + _grown("8"))
 def j2(t):
     return _bare(D.absorb_overlapping_bodies(scored(t)))
 
 
+# The sides of joins are materialised where they are filtered, so that no planner turns the join into a product under a filter.
 NEAR = """
+f7 AS MATERIALIZED (SELECT * FROM d WHERE category_id=7),
+b35 AS MATERIALIZED (SELECT * FROM d WHERE category_id IN (3,5)),
 n AS (SELECT f.doc_id,f.page_idx,f.det_id,b.category_id c,
   (b.x1<f.x0 OR f.x1<b.x0) beside,(b.y1<f.y0 OR f.y1<b.y0) above,
   b.x1-b.x0 bw,b.y1-b.y0 bh,f.x1-f.x0 fw,f.y1-f.y0 fh,
   GREATEST(f.x0-b.x1,b.x0-f.x1,0) gx,GREATEST(f.y0-b.y1,b.y0-f.y1,0) gy
-  FROM d f JOIN d b ON f.doc_id=b.doc_id AND f.page_idx=b.page_idx AND f.category_id=7 AND b.category_id IN (3,5)),
+  FROM f7 f JOIN b35 b ON f.doc_id=b.doc_id AND f.page_idx=b.page_idx),
 m AS (SELECT doc_id,page_idx,det_id,
   MIN(CASE WHEN c=3 THEN dist END) fig,COALESCE(MIN(CASE WHEN c=5 THEN dist END),1e18) tab FROM (
    SELECT *,CASE WHEN (CASE WHEN beside THEN (fh-bh)*10>3*bh ELSE (fw-bw)*10>3*bw END) THEN 1e18 ELSE CAST(gx+gy AS DOUBLE) END dist
@@ -275,31 +324,83 @@ def j4(t):
     return _bare(D.drop_contained(t.dets, ["category_id"]))
 
 
-@query("J5_captions_by_distance")
+# Matching by distance as a recursive walk: a step starts from the free box nearest the corner of all free boxes.
+def _gap2(i: str, j: str) -> str:
+    x, y = f"GREATEST(x0[{i}]-x1[{j}],x0[{j}]-x1[{i}],0)", f"GREATEST(y0[{i}]-y1[{j}],y0[{j}]-y1[{i}],0)"
+    return f"({x}*{x}+{y}*{y})"
+
+
+MATCH = f"""src AS (SELECT doc_id,page_idx,det_id id,CASE category_id WHEN 3 THEN 0 ELSE 1 END kind,x0,y0,x1,y1 FROM d z WHERE category_id IN (3,4) AND NOT EXISTS (
+  SELECT 1 FROM d o WHERE o.doc_id=z.doc_id AND o.page_idx=z.page_idx AND o.category_id=z.category_id AND o.det_id<>z.det_id
+  AND z.x0>=o.x0 AND z.y0>=o.y0 AND z.x1<=o.x1 AND z.y1<=o.y1)),
+pg AS (SELECT doc_id,page_idx,COUNT(*) n,COUNT(*) FILTER (kind=0) bodies,LIST(id ORDER BY kind,x0*x0+y0*y0,id) ids,LIST(x0 ORDER BY kind,x0*x0+y0*y0,id) x0,
+  LIST(y0 ORDER BY kind,x0*x0+y0*y0,id) y0,LIST(x1 ORDER BY kind,x0*x0+y0*y0,id) x1,LIST(y1 ORDER BY kind,x0*x0+y0*y0,id) y1 FROM src GROUP BY 1,2),
+w AS (SELECT doc_id,page_idx,0 step,CAST([] AS BIGINT[]) used,CAST([] AS BIGINT[]) mb,CAST([] AS BIGINT[]) mp FROM pg
+ UNION ALL SELECT doc_id,page_idx,step+1,CASE WHEN far THEN list_append(used,body) ELSE list_append(list_append(used,body),part) END,
+   CASE WHEN far THEN mb ELSE list_append(mb,body) END,CASE WHEN far THEN mp ELSE list_append(mp,part) END FROM (
+  SELECT *,{_gap2("body", "part")}>=9*list_min(list_transform(generate_series(1,bodies),lambda b: {_gap2("b", "part")})) far FROM (
+   SELECT *,LEAST(first,other) body,GREATEST(first,other) part FROM (
+    SELECT *,list_min(list_transform(list_filter(free,lambda f: (f<=bodies)<>(first<=bodies)),
+      lambda f: {{'g':{_gap2("f", "first")},'c':(x0[f]-left_)*(x0[f]-left_)+(y0[f]-top_)*(y0[f]-top_),'k':f}})).k other FROM (
+     SELECT *,list_min(list_transform(free,lambda f: {{'c':(x0[f]-left_)*(x0[f]-left_)+(y0[f]-top_)*(y0[f]-top_),'k':f}})).k first FROM (
+      SELECT *,list_min(list_transform(free,lambda f: x0[f])) left_,list_min(list_transform(free,lambda f: y0[f])) top_ FROM (
+       SELECT w.*,pg.bodies,pg.x0,pg.y0,pg.x1,pg.y1,list_filter(generate_series(1,pg.n),lambda f: NOT list_contains(w.used,f)) free
+       FROM w JOIN pg USING (doc_id,page_idx) WHERE len(mb)<pg.bodies) a) b) c) e WHERE other IS NOT NULL) f) g),
+fin AS (SELECT doc_id,page_idx,ARG_MAX(w,step) w FROM w GROUP BY 1,2),
+paired AS (SELECT doc_id,page_idx,UNNEST(w.mb) body,UNNEST(w.mp) part FROM fin
+ UNION ALL SELECT doc_id,page_idx,list_min(list_transform(generate_series(1,bodies),lambda b: {{'g':{_gap2("b", "part")},'k':b}})).k,part FROM (
+  SELECT *,UNNEST(generate_series(bodies+1,n)) part FROM fin JOIN pg USING (doc_id,page_idx) WHERE bodies>0) z WHERE NOT list_contains(w.used,part))"""
+
+
+@query("J5_captions_by_distance", ["dets"], """
+SELECT doc_id,page_idx,ids[body] body_id,ids[part] part_id FROM paired JOIN pg USING (doc_id,page_idx)
+UNION ALL SELECT doc_id,page_idx,ids[b],NULL FROM (SELECT *,UNNEST(generate_series(1,bodies)) b FROM pg) z
+ WHERE NOT EXISTS (SELECT 1 FROM paired p WHERE p.doc_id=z.doc_id AND p.page_idx=z.page_idx AND p.body=z.b)""", RELABEL + "," + MATCH)
 def j5(t):
     return D.match_captions(relabelled(t), S.IMAGE_BODY, S.IMAGE_CAPTION)
 
 
-@query("J12_absorb_by_score")
+@query("J12_absorb_by_score", ["dets"], GROWN, SRC.format(kind="0", where="") + "," + _grown("8", by_score=True))
 def j12(t):
     return _bare(D.absorb_by_score(scored(t)))
 
 
-@query("J25_merge_alike_tables")
+# Merging as a recursive walk: the list of a page without the first pair that is alike, and their hull at its end.
+def _merged(threshold: str) -> str:
+    cut = lambda c, new: f"list_append(list_filter({c},lambda v,k: k<>i AND k<>j),{new}) {c}"
+    area = lambda k: f"(x1[{k}]-x0[{k}])*(y1[{k}]-y0[{k}])"
+    both = "(LEAST(x1[p//10000],x1[p%10000])-GREATEST(x0[p//10000],x0[p%10000]))*(LEAST(y1[p//10000],y1[p%10000])-GREATEST(y0[p//10000],y0[p%10000]))"
+    return f"""
+pg AS (SELECT doc_id,page_idx,LIST(id ORDER BY id) ids,LIST(x0 ORDER BY id) x0,LIST(y0 ORDER BY id) y0,LIST(x1 ORDER BY id) x1,LIST(y1 ORDER BY id) y1
+  FROM src GROUP BY 1,2),
+w AS (SELECT *,0 made FROM pg
+ UNION ALL SELECT doc_id,page_idx,{cut("ids", "ids[i]")},{cut("x0", "LEAST(x0[i],x0[j])")},{cut("y0", "LEAST(y0[i],y0[j])")},
+   {cut("x1", "GREATEST(x1[i],x1[j])")},{cut("y1", "GREATEST(y1[i],y1[j])")},made+1 FROM (SELECT *,p//10000 i,p%10000 j FROM (
+  SELECT *,list_min(list_filter(flatten(list_transform(generate_series(1,len(ids)-1),lambda i: list_transform(generate_series(i+1,len(ids)),lambda j: i*10000+j))),
+    lambda p: x0[p//10000]<x1[p%10000] AND x0[p%10000]<x1[p//10000] AND y0[p//10000]<y1[p%10000] AND y0[p%10000]<y1[p//10000]
+     AND {both}*10>{threshold}*({area("p//10000")}+{area("p%10000")}-{both}))) p FROM w) z1 WHERE p IS NOT NULL) z2),
+fin AS (SELECT doc_id,page_idx,ARG_MAX(w,made) w FROM w GROUP BY 1,2),
+merged AS (SELECT doc_id,page_idx,w.ids[k] id,w.x0[k] x0,w.y0[k] y0,w.x1[k] x1,w.y1[k] y1,k-1 ord FROM (
+  SELECT doc_id,page_idx,w,UNNEST(generate_series(1,len(w.ids))) k FROM fin) z)"""
+
+
+@query("J25_merge_alike_tables", ["dets"], """
+SELECT g.doc_id,g.page_idx,g.id det_id,d.category_id,g.x0,g.y0,g.x1,g.y1,d.score_m,g.ord FROM merged g
+JOIN dets d ON d.doc_id=g.doc_id AND d.page_idx=g.page_idx AND d.det_id=g.id""", SRC.format(kind="0", where=" WHERE category_id=5") + "," + _merged("7"))
 def j25(t):
-    return _bare(D.merge_alike_tables(scored(t).where("category_id = 5")))
+    return D.merge_alike_tables(scored(t).where("category_id = 5")).select(*COLS.split(","), "ord")
 
 
 TABLES_SQL = """
 big AS (SELECT doc_id,page_idx,CAST(FLOOR(det_id/8) AS BIGINT)*1000 det_id,MIN(x0) x0,MIN(y0) y0,MAX(x1) x1,MAX(y1) y1 FROM small
   GROUP BY doc_id,page_idx,FLOOR(det_id/8)),
 tb AS (SELECT doc_id,page_idx,det_id,x0,y0,x1,y1 FROM small UNION ALL SELECT * FROM big),
-held AS (SELECT a.doc_id,a.page_idx,a.det_id big,(a.x1-a.x0)*(a.y1-a.y0) oa,b.det_id,b.x0,b.y0,b.x1,b.y1,(b.x1-b.x0)*(b.y1-b.y0) ia
-  FROM tb a JOIN tb b ON a.doc_id=b.doc_id AND a.page_idx=b.page_idx AND a.det_id<>b.det_id
-  AND LEAST(a.x1,b.x1)>GREATEST(a.x0,b.x0) AND LEAST(a.y1,b.y1)>GREATEST(a.y0,b.y0)
-  AND (LEAST(a.x1,b.x1)-GREATEST(a.x0,b.x0))*(LEAST(a.y1,b.y1)-GREATEST(a.y0,b.y0))*10>=8*(b.x1-b.x0)*(b.y1-b.y0)),
-crossing AS (SELECT DISTINCT p.doc_id,p.page_idx,p.big FROM held p JOIN held q ON p.doc_id=q.doc_id AND p.page_idx=q.page_idx AND p.big=q.big
-  AND p.det_id<q.det_id AND LEAST(p.x1,q.x1)>GREATEST(p.x0,q.x0) AND LEAST(p.y1,q.y1)>GREATEST(p.y0,q.y0)),
+held AS (SELECT * FROM (SELECT a.doc_id,a.page_idx,a.det_id big,(a.x1-a.x0)*(a.y1-a.y0) oa,b.det_id,b.x0,b.y0,b.x1,b.y1,(b.x1-b.x0)*(b.y1-b.y0) ia,
+  a.det_id-b.det_id apart,LEAST(a.x1,b.x1)-GREATEST(a.x0,b.x0) iw,LEAST(a.y1,b.y1)-GREATEST(a.y0,b.y0) ih
+  FROM tb a JOIN tb b ON a.doc_id=b.doc_id AND a.page_idx=b.page_idx) pp WHERE apart<>0 AND iw>0 AND ih>0 AND iw*ih*10>=8*ia),
+crossing AS (SELECT DISTINCT doc_id,page_idx,big FROM (SELECT p.doc_id,p.page_idx,p.big,q.det_id-p.det_id step,
+   LEAST(p.x1,q.x1)-GREATEST(p.x0,q.x0) iw,LEAST(p.y1,q.y1)-GREATEST(p.y0,q.y0) ih
+   FROM held p JOIN held q ON p.doc_id=q.doc_id AND p.page_idx=q.page_idx AND p.big=q.big) qq WHERE step>0 AND iw>0 AND ih>0),
 gone AS (SELECT doc_id,page_idx,big FROM held GROUP BY doc_id,page_idx,big,oa HAVING COUNT(*)>=3 AND SUM(ia)*10>8*oa)"""
 
 
@@ -317,11 +418,58 @@ def j26(t):
     return D.drop_tables_of_tables(small.unionByName(big)).select("doc_id", "page_idx", "det_id")
 
 
-@query("J27_big_block_against_inner")
+# A big box against those inside as a recursive walk: a step goes to the next live box of the list with two or more live ones inside.
+def _outvoted(order: str = "id") -> str:
+    hull = ",".join(f"CASE WHEN wins THEN list_transform({c},lambda v,k: CASE WHEN k=i THEN {fn}(v,{low}(list_transform(own,lambda o: {c}[o]))) ELSE v END) ELSE {c} END {c}"
+                    for c, fn, low in (("x0", "LEAST", "list_min"), ("y0", "LEAST", "list_min"), ("x1", "GREATEST", "list_max"), ("y1", "GREATEST", "list_max")))
+    return f"""
+num AS (SELECT *,ROW_NUMBER() OVER (PARTITION BY doc_id,page_idx ORDER BY {order}) k FROM src),
+ins AS (SELECT a.doc_id,a.page_idx,a.k i,LIST(b.k ORDER BY b.k) own FROM num a JOIN num b ON a.doc_id=b.doc_id AND a.page_idx=b.page_idx AND a.k<>b.k
+  AND a.x0<b.x1 AND b.x0<a.x1 AND a.y0<b.y1 AND b.y0<a.y1
+  AND (LEAST(a.x1,b.x1)-GREATEST(a.x0,b.x0))*(LEAST(a.y1,b.y1)-GREATEST(a.y0,b.y0))*10>=8*(b.x1-b.x0)*(b.y1-b.y0) GROUP BY 1,2,3 HAVING COUNT(*)>1),
+held AS (SELECT doc_id,page_idx,MAP(LIST(i),LIST(own)) inner_of,LIST(i ORDER BY i) bigs FROM ins GROUP BY 1,2),
+pg AS (SELECT doc_id,page_idx,LIST(id ORDER BY k) ids,LIST(x0 ORDER BY k) x0,LIST(y0 ORDER BY k) y0,LIST(x1 ORDER BY k) x1,LIST(y1 ORDER BY k) y1,
+  LIST(s ORDER BY k) s FROM num GROUP BY 1,2),
+w AS (SELECT doc_id,page_idx,CAST(0 AS BIGINT) cur,ids,x0,y0,x1,y1,s,CAST([] AS BIGINT[]) gone FROM pg
+ UNION ALL SELECT doc_id,page_idx,i,ids,{hull},s,CASE WHEN wins THEN list_concat(gone,own) ELSE list_append(gone,i) END FROM (
+  SELECT *,s[i]*len(own)>list_sum(list_transform(own,lambda o: s[o])) wins FROM (
+   SELECT *,list_filter(inner_of[i],lambda o: NOT list_contains(gone,o)) own FROM (
+    SELECT w.*,inner_of,list_min(list_filter(bigs,lambda b: b>cur AND NOT list_contains(gone,b)
+      AND len(list_filter(inner_of[b],lambda o: NOT list_contains(gone,o)))>1)) i FROM w JOIN held USING (doc_id,page_idx)) z1 WHERE i IS NOT NULL) z2) z3),
+fin AS (SELECT doc_id,page_idx,ARG_MAX(w,cur) w FROM w GROUP BY 1,2),
+grown AS (SELECT doc_id,page_idx,w.ids[k] id,w.x0[k] x0,w.y0[k] y0,w.x1[k] x1,w.y1[k] y1 FROM (
+  SELECT doc_id,page_idx,w,UNNEST(generate_series(1,len(w.ids))) k FROM fin) z WHERE NOT list_contains(w.gone,k))"""
+
+
+@query("J27_big_block_against_inner", ["dets"], GROWN, SRC.format(kind="0", where="") + "," + _outvoted())
 def j27(t):
     return _bare(D.big_against_inner(scored(t)))
 
 
+# The chain over regions: tables merged, without tables of tables, absorbed by score; text absorbed; all against those inside.
+REGIONS = ",".join([
+    tagged(SRC.format(kind="0", where=" WHERE category_id=5") + "," + _merged("7"), "m"),
+    "tb AS (SELECT doc_id,page_idx,ord,id det_id,x0,y0,x1,y1 FROM merged_m)",
+    TABLES_SQL[TABLES_SQL.index("held AS"):].strip(),
+    "kept_tables AS (SELECT tb.*,d.score_m FROM tb JOIN dets d ON d.doc_id=tb.doc_id AND d.page_idx=tb.page_idx AND d.det_id=tb.det_id "
+    "WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id=tb.doc_id AND g.page_idx=tb.page_idx AND g.big=tb.det_id "
+    "AND NOT EXISTS (SELECT 1 FROM crossing c WHERE c.doc_id=g.doc_id AND c.page_idx=g.page_idx AND c.big=g.big)))",
+    tagged("src AS (SELECT doc_id,page_idx,0 kind,ord id,x0,y0,x1,y1,score_m s FROM kept_tables)," + _grown("8", by_score=True), "t"),
+    tagged(SRC.format(kind="0", where=" WHERE category_id=1") + "," + _grown("8", by_score=True), "x"),
+    """src_j AS (SELECT doc_id,page_idx,0 part,det_id id,det_id,x0,y0,x1,y1,score_m s,'ocr' region FROM dets WHERE category_id IN (0,2,3,4,6,7)
+ UNION ALL SELECT g.doc_id,g.page_idx,1,g.id,g.id,g.x0,g.y0,g.x1,g.y1,d.score_m,'text' FROM grown_x g JOIN dets d ON d.doc_id=g.doc_id AND d.page_idx=g.page_idx AND d.det_id=g.id
+ UNION ALL SELECT g.doc_id,g.page_idx,2,g.id,k.det_id,g.x0,g.y0,g.x1,g.y1,k.score_m,'table' FROM grown_t g JOIN kept_tables k ON k.doc_id=g.doc_id AND k.page_idx=g.page_idx AND k.ord=g.id)""",
+    tagged(_outvoted("part,id"), "j")])
+
+
+@query("PF25_layout_regions", ["dets"], """
+SELECT g.doc_id,g.page_idx,n.det_id,n.region,g.x0,g.y0,g.x1,g.y1 FROM (SELECT doc_id,page_idx,w_j.ids[k] id,k,w_j.x0[k] x0,w_j.y0[k] y0,w_j.x1[k] x1,w_j.y1[k] y1 FROM (
+  SELECT doc_id,page_idx,w_j,UNNEST(generate_series(1,len(w_j.ids))) k FROM fin_j) z WHERE NOT list_contains(w_j.gone,k)) g
+JOIN num_j n ON n.doc_id=g.doc_id AND n.page_idx=g.page_idx AND n.k=g.k""", REGIONS)
+def pf25(t):
+    return D.layout_regions(scored(t)).select("doc_id", "page_idx", "det_id", "region", "x0", "y0", "x1", "y1")
+
+
 # Ordered elimination as a recursive walk over the conflicting pairs of each page.
 ELIMINATE = """
 e AS (SELECT doc_id,page_idx,i,j,loser,ROW_NUMBER() OVER (PARTITION BY doc_id,page_idx ORDER BY i,j) n FROM conflict),

@@ -10,14 +10,14 @@ from . import query
 
 A, B = g.box("a"), g.box("b")
 
-# Pairs of boxes that meet, for the area functions.
+# Pairs of boxes that meet, for the area functions. The join has equalities only; extents are compared by their differences.
 MEET = """
-mp AS (SELECT a.doc_id,a.page_idx,a.det_id id1,b.det_id id2,
+pp AS (SELECT a.doc_id,a.page_idx,a.det_id id1,b.det_id id2,b.det_id-a.det_id step,
   a.x0 ax0,a.y0 ay0,a.x1 ax1,a.y1 ay1,b.x0 bx0,b.y0 by0,b.x1 bx1,b.y1 by1,
   (a.x1-a.x0)*(a.y1-a.y0) aa,(b.x1-b.x0)*(b.y1-b.y0) ab,
   LEAST(a.x1,b.x1)-GREATEST(a.x0,b.x0) iw,LEAST(a.y1,b.y1)-GREATEST(a.y0,b.y0) ih
-  FROM dets a JOIN dets b ON a.doc_id=b.doc_id AND a.page_idx=b.page_idx AND a.det_id<b.det_id
-   AND a.x0<=b.x1 AND b.x0<=a.x1 AND a.y0<=b.y1 AND b.y0<=a.y1)"""
+  FROM dets a JOIN dets b ON a.doc_id=b.doc_id AND a.page_idx=b.page_idx),
+mp AS (SELECT * FROM pp WHERE step>0 AND iw>=0 AND ih>=0)"""
 
 # Each box with the next one of the page, so that boxes apart occur too.
 NEXT = """

@@ -207,17 +207,22 @@ def w5_remove(t):
     return S.subtract_intervals(ranges, _intervals(t), ["doc_id", "page_idx"])
 
 
-CUTS = """txt AS (SELECT doc_id,page_idx,det_id span_id,x0,y0,x1,y1,det_id%11=0 skewed FROM dets WHERE category_id<>8),
-fm AS (SELECT t.doc_id,t.page_idx,t.span_id,t.x0 a,t.x1 b,t.y0,t.y1,f.x0 lo,f.x1 hi FROM txt t JOIN dets f ON NOT t.skewed AND f.category_id=8
-  AND f.doc_id=t.doc_id AND f.page_idx=t.page_idx AND GREATEST(LEAST(t.y1,f.y1)-GREATEST(t.y0,f.y0),0)*10>8*LEAST(t.y1-t.y0,f.y1-f.y0)),
-px AS (SELECT t.doc_id,t.page_idx,t.span_id,t.y0,t.y1,t.x0,t.x1,UNNEST(generate_series(t.x0,t.x1)) x FROM txt t WHERE NOT skewed),
-fr AS (SELECT px.*,x-ROW_NUMBER() OVER (PARTITION BY doc_id,page_idx,span_id ORDER BY x) grp FROM px WHERE NOT EXISTS (
-  SELECT 1 FROM fm WHERE fm.doc_id=px.doc_id AND fm.page_idx=px.page_idx AND fm.span_id=px.span_id AND px.x BETWEEN fm.lo AND fm.hi))"""
+# A text box loses the ranges of the formulas on its height: what is left lies before each mask, behind all masks before it, and at the end.
+CUTS = """cuts AS MATERIALIZED (SELECT * FROM dets WHERE category_id=8),
+txt AS (SELECT doc_id,page_idx,det_id span_id,x0,y0,x1,y1,det_id%11=0 skewed FROM dets WHERE category_id<>8),
+plain AS MATERIALIZED (SELECT * FROM txt WHERE NOT skewed),
+fm AS MATERIALIZED (SELECT * FROM (SELECT t.doc_id,t.page_idx,t.span_id,t.x0 a,t.x1 b,t.y0,t.y1,f.x0 lo,f.x1 hi,LEAST(t.x1,f.x1)-GREATEST(t.x0,f.x0) iw,
+   GREATEST(LEAST(t.y1,f.y1)-GREATEST(t.y0,f.y0),0)*10-8*LEAST(t.y1-t.y0,f.y1-f.y0) beyond
+   FROM plain t JOIN cuts f ON f.doc_id=t.doc_id AND f.page_idx=t.page_idx) pp WHERE beyond>0 AND iw>=0),
+left_ AS (SELECT doc_id,page_idx,span_id,GREATEST(a,COALESCE(MAX(hi) OVER (PARTITION BY doc_id,page_idx,span_id ORDER BY lo,hi
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)+1,a)) x0,y0,lo-1 x1,y1 FROM fm
+  UNION ALL SELECT doc_id,page_idx,span_id,MAX(hi)+1,y0,b,y1 FROM fm GROUP BY doc_id,page_idx,span_id,y0,b,y1)"""
 
 
 @query("J24_cut_text_at_formulas", ["dets"], """
-SELECT doc_id,page_idx,span_id,MIN(x) x0,y0,MAX(x) x1,y1 FROM fr GROUP BY doc_id,page_idx,span_id,y0,y1,grp
-UNION ALL SELECT doc_id,page_idx,span_id,x0,y0,x1,y1 FROM txt WHERE skewed""", CUTS)
+SELECT doc_id,page_idx,span_id,x0,y0,x1,y1 FROM left_ WHERE x0<=x1
+UNION ALL SELECT doc_id,page_idx,span_id,x0,y0,x1,y1 FROM txt t
+ WHERE NOT EXISTS (SELECT 1 FROM fm WHERE fm.doc_id=t.doc_id AND fm.page_idx=t.page_idx AND fm.span_id=t.span_id)""", CUTS)
 def j24(t):
     d = t.dets.withColumnRenamed("det_id", "span_id")
     text = d.where("category_id <> 8").withColumn("skewed", F.col("span_id") % 11 == 0)

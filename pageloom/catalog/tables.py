@@ -41,7 +41,34 @@ def j19(t):
     return T.match_text_to_ruled_cells(_texts(t), _cells(t))
 
 
-@query("W13_gather_cell_texts")
+# Pieces of each cell: put in order by a walk of insertions, then each joins the first row on its height or opens one.
+GATHER = MEET + """,
+mt_home AS MATERIALIZED (SELECT * FROM mt WHERE (ao-inter)*10<6*ao OR inter*10>8*(ao+ac-inter)),
+src AS MATERIALIZED (SELECT mt.table_id,mt.cell_no,mt.text_id id,o.ox0 x0,o.oy0 y0,o.ox1 x1,o.oy1 y1,o.otext FROM mt_home mt JOIN cells_ocr o ON o.table_id=mt.table_id AND o.cell_no=mt.text_id),
+pg AS MATERIALIZED (SELECT table_id,cell_no,COUNT(*) n,LIST(x0 ORDER BY y0,x0,id) x0,LIST(y0 ORDER BY y0,x0,id) y0,LIST(x1 ORDER BY y0,x0,id) x1,LIST(y1 ORDER BY y0,x0,id) y1,
+  LIST(otext ORDER BY y0,x0,id) t FROM src GROUP BY 1,2),
+w AS (SELECT table_id,cell_no,CAST(1 AS BIGINT) i,CAST([1] AS BIGINT[]) ord FROM pg
+ UNION ALL SELECT table_id,cell_no,i+1,list_concat(list_append(ord[1:stop],i+1),ord[stop+1:]) FROM (
+  SELECT w.*,COALESCE(list_max(list_filter(generate_series(1,len(ord)),lambda k: NOT (x0[i+1]<x0[ord[k]] AND ABS(y0[i+1]-y0[ord[k]])<20
+   AND ((y1[i+1]-y0[i+1]-(LEAST(y1[i+1],y1[ord[k]])-GREATEST(y0[i+1],y0[ord[k]])))*10<3*(y1[i+1]-y0[i+1])
+    OR (y1[ord[k]]-y0[ord[k]]-(LEAST(y1[i+1],y1[ord[k]])-GREATEST(y0[i+1],y0[ord[k]])))*10<3*(y1[ord[k]]-y0[ord[k]]))))),0) stop
+  FROM w JOIN pg USING (table_id,cell_no) WHERE w.i<pg.n) z),
+fin AS MATERIALIZED (SELECT table_id,cell_no,ARG_MAX(ord,i) ord FROM w GROUP BY 1,2),
+h AS (SELECT table_id,cell_no,CAST(1 AS BIGINT) i,[y0[ord[1]]] hy0,[y1[ord[1]]] hy1,[x1[ord[1]]] hx1,[t[ord[1]]] ht FROM fin JOIN pg USING (table_id,cell_no)
+ UNION ALL SELECT table_id,cell_no,i+1,
+  CASE WHEN hit IS NULL THEN list_append(hy0,ny0) ELSE list_transform(hy0,lambda v,k: CASE WHEN k=hit THEN LEAST(v,ny0) ELSE v END) END,
+  CASE WHEN hit IS NULL THEN list_append(hy1,ny1) ELSE list_transform(hy1,lambda v,k: CASE WHEN k=hit THEN GREATEST(v,ny1) ELSE v END) END,
+  CASE WHEN hit IS NULL THEN list_append(hx1,nx1) ELSE list_transform(hx1,lambda v,k: CASE WHEN k=hit THEN GREATEST(v,nx1) ELSE v END) END,
+  CASE WHEN hit IS NULL THEN list_append(ht,nt) ELSE list_transform(ht,lambda v,k: CASE WHEN k=hit THEN v||REPEAT(' ',GREATEST(nx0-hx1[k],0)//10)||nt ELSE v END) END FROM (
+   SELECT *,list_min(list_filter(generate_series(1,len(hy0)),lambda k: (hy1[k]-hy0[k]-(LEAST(hy1[k],ny1)-GREATEST(hy0[k],ny0)))*10<3*(hy1[k]-hy0[k])
+     OR (ny1-ny0-(LEAST(hy1[k],ny1)-GREATEST(hy0[k],ny0)))*10<3*(ny1-ny0))) hit FROM (
+    SELECT h.*,x0[ord[i+1]] nx0,y0[ord[i+1]] ny0,x1[ord[i+1]] nx1,y1[ord[i+1]] ny1,t[ord[i+1]] nt
+    FROM h JOIN fin USING (table_id,cell_no) JOIN pg USING (table_id,cell_no) WHERE h.i<pg.n) a) b)"""
+
+
+@query("W13_gather_cell_texts", ["cells_ocr"], """
+SELECT table_id,cell_no,k-1 pos,ht[k] AS text FROM (SELECT table_id,cell_no,ht,UNNEST(generate_series(1,len(ht))) k FROM (
+ SELECT table_id,cell_no,ARG_MAX(ht,i) ht FROM h GROUP BY 1,2) y) z""", GATHER)
 def w13(t):
     texts = _texts(t)
     home = T.match_text_to_ruled_cells(texts, _cells(t))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import geom as g
 from ..session import materialize
-from . import folds
+from . import growth
 from .detections import band_pairs
 from .pairs import PAGE, meeting_pairs, only, without
 
@@ -59,8 +59,8 @@ def split_under_footnotes(blocks: DataFrame, footnotes: DataFrame) -> tuple[Data
 
 
 def absorb_overlapping_blocks(blocks: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """J11."""
-    return folds.fold_pages(blocks, "block_id", folds.absorb_smaller(threshold, "block_id"))
+    """Of two blocks that overlap the larger takes both areas."""
+    return growth.settled(blocks, "block_id", growth.absorbing(threshold), threshold, threshold).drop("_key")
 
 
 def coarse_order(blocks: DataFrame) -> DataFrame:

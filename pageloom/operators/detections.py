@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import geom as g
-from . import folds, settle
+from . import growth, settle
 from .pairs import PAGE, meeting_pairs, without
 
 A, B = g.box("a"), g.box("b")
 ID = [*PAGE, "det_id"]
 BOX_COLS = ["x0", "y0", "x1", "y1"]
+PAIRS = "array<struct<body_id:bigint,part_id:bigint>>"
 
 LAYOUT_CATEGORIES = [
     S.TITLE, S.TEXT, S.IMAGE_BODY, S.IMAGE_CAPTION, S.TABLE_BODY, S.TABLE_CAPTION, S.TABLE_FOOTNOTE,
@@ -226,11 +229,10 @@ def drop_high_iou(dets: DataFrame, threshold: float = 0.9) -> DataFrame:
 
 
 def absorb_overlapping_bodies(dets: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Image bodies among themselves and table bodies among themselves. Only they enter the fold."""
+    """Image bodies among themselves and table bodies among themselves; of two that overlap the larger takes both areas."""
     body = F.col("category_id").isin(S.IMAGE_BODY, S.TABLE_BODY)
-    bodies = dets.where(body)
-    fold = folds.absorb_smaller(threshold, "det_id", "category_id")
-    return dets.where(~body).unionByName(folds.fold_pages(bodies, "det_id", fold))
+    grown = growth.settled(dets.where(body), "det_id", growth.absorbing(threshold), threshold, threshold, [*PAGE, "category_id"])
+    return dets.where(~body).unionByName(grown.drop("_key"))
 
 
 def band_pairs(left: DataFrame, right: DataFrame, axis: str, size: int = 64) -> DataFrame:
@@ -286,12 +288,69 @@ def drop_contained(boxes: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
     return without(boxes, pairs.select(*_ids("a")), ID)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _gap2(a: Column, b: Column) -> Column:
+    """Squared distance of two boxes."""
+    dx = F.greatest(a.x0 - b.x1, b.x0 - a.x1, F.lit(0))
+    dy = F.greatest(a.y0 - b.y1, b.y0 - a.y1, F.lit(0))
+    return dx * dx + dy * dy
+
+
 def match_captions(dets: DataFrame, body_category: int, part_category: int) -> DataFrame:
-    """(page, body_id, part_id) by distance; bodies without parts have a null part."""
+    """(page, body_id, part_id) of captions or footnotes to bodies, by distance; bodies without parts have a null part.
+
+    A step starts from the free box nearest the top-left corner of all free boxes and takes its nearest free partner of the other kind,
+    unless that is three times as far as the body nearest to the part; then the body is put aside. Parts left over go to their nearest
+    body. Each step uses up a body, and depends on all before it, so a page's bodies and parts are one row.
+    """
     chosen = dets.where(F.col("category_id").isin(body_category, part_category)).withColumn(
         "kind", F.when(F.col("category_id") == body_category, 0).otherwise(1))
-    chosen = drop_contained(chosen, ["kind"]).select(*ID, "kind", *BOX_COLS)
-    return folds.fold_groups(chosen, PAGE, folds.pair_by_distance, "doc_id bigint, page_idx bigint, body_id bigint, part_id bigint")
+    chosen = drop_contained(chosen, ["kind"])
+    one = F.struct("kind", (F.col("x0") * F.col("x0") + F.col("y0") * F.col("y0")).alias("d"), F.col("det_id").cast("long").alias("id"), *BOX_COLS)
+    whole = chosen.groupBy(*PAGE).agg(F.array_sort(F.collect_list(one)).alias("boxes"))
+    whole = whole.withColumn("bodies", F.filter("boxes", lambda b: b.kind == 0))
+
+    def step(found: Column, _: Column) -> Column:
+        free = F.filter("boxes", lambda b: ~F.array_contains(found.used, b.id))
+
+        def near_corner(free: Column) -> Column:
+            x, y = F.array_min(F.transform(free, lambda b: b.x0)), F.array_min(F.transform(free, lambda b: b.y0))
+            return _let(F.struct(x.alias("x"), y.alias("y")), lambda c: F.array_sort(F.transform(
+                free, lambda b: F.struct(((b.x0 - c.x) * (b.x0 - c.x) + (b.y0 - c.y) * (b.y0 - c.y)).alias("c"), b.kind.alias("kind"), b.d.alias("d"), b.alias("b")))))
+
+        def partner(ranked: Column) -> Column:
+            first = F.get(ranked, F.lit(0))["b"]
+            others = F.filter(ranked, lambda r: r.kind != first.kind)
+            nearest = F.array_min(F.transform(others, lambda r, k: F.struct(_gap2(first, r.b).alias("g"), k.alias("k"), r.b.alias("b"))))
+            pair = F.when(first.kind == 0, F.struct(first.alias("body"), nearest.b.alias("part"), nearest.g.alias("g"))).otherwise(
+                F.struct(nearest.b.alias("body"), first.alias("part"), nearest.g.alias("g")))
+            return F.when(F.size(others) > 0, pair)
+
+        def take(pair: Column) -> Column:
+            far = pair.g >= 9 * F.array_min(F.transform("bodies", lambda b: _gap2(b, pair.part)))
+            used = F.when(far, F.array(pair.body.id)).otherwise(F.array(pair.body.id, pair.part.id))
+            mine = F.when(far, F.array().cast(PAIRS)).otherwise(F.array(F.struct(pair.body.id.alias("body_id"), pair.part.id.alias("part_id"))))
+            return F.when(pair.isNull(), found).otherwise(F.struct(F.concat(found.used, used).alias("used"), F.concat(found.pairs, mine).alias("pairs")))
+
+        return _let(_let(_let(free, near_corner), partner), take)
+
+    none = F.struct(F.array().cast("array<bigint>").alias("used"), F.array().cast(PAIRS).alias("pairs"))
+    settled = whole.withColumn("found", F.aggregate("bodies", none, step))
+
+    def nearest_body(p: Column) -> Column:
+        return F.array_min(F.transform("bodies", lambda b, k: F.struct(_gap2(p, b).alias("g"), k.alias("k"), b.id.alias("id"))))["id"]
+
+    left = F.filter("boxes", lambda b: (b.kind == 1) & ~F.array_contains("found.used", b.id))
+    pairs = F.concat("found.pairs", F.when(F.size("bodies") > 0, F.transform(
+        left, lambda b: F.struct(nearest_body(b).alias("body_id"), b.id.alias("part_id")))).otherwise(F.array().cast(PAIRS)))
+    settled = settled.withColumn("pairs", pairs)
+    alone = F.transform(F.filter("bodies", lambda b: ~F.exists("pairs", lambda p: p.body_id == b.id)),
+                        lambda b: F.struct(b.id.alias("body_id"), F.lit(None).cast("bigint").alias("part_id")))
+    return settled.select(*PAGE, F.explode(F.concat("pairs", alone)).alias("p")).select(*PAGE, "p.body_id", "p.part_id")
 
 
 # ---- layout regions before recognition
@@ -308,9 +367,12 @@ def split_regions(dets: DataFrame) -> DataFrame:
 
 
 def merge_alike_tables(tables: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """Adds ``ord``, the list position that later steps follow."""
-    tables = tables.withColumn("ord", F.col("det_id").cast("bigint"))
-    return folds.fold_pages(tables, "det_id", folds.merge_alike(threshold, "ord"))
+    """Tables that are alike become one. Adds ``ord``, the place in the page's list that later steps follow: merged tables come
+    last, in the order of their merges."""
+    merged = growth.settled(tables, "det_id", growth.merging(threshold), threshold, threshold)
+    place = F.coalesce("_key", F.array(F.col("det_id").cast("bigint")))
+    along = Window.partitionBy(*PAGE).orderBy(place)
+    return merged.withColumn("ord", (F.row_number().over(along) - 1).cast("bigint")).drop("_key")
 
 
 def drop_tables_of_tables(tables: DataFrame, share: float = 0.8, filled: float = 0.8) -> DataFrame:
@@ -329,13 +391,13 @@ def drop_tables_of_tables(tables: DataFrame, share: float = 0.8, filled: float =
 
 
 def absorb_by_score(boxes: DataFrame, threshold: float = 0.8, order: str = "det_id") -> DataFrame:
-    """J12."""
-    return folds.fold_pages(boxes, "det_id", folds.absorb_by_score(threshold, order))
+    """Of two boxes that overlap the smaller goes and the larger grows, unless the smaller has the better score: then the larger goes."""
+    return growth.settled(boxes, order, growth.absorbing(threshold, by_score=True), threshold, threshold).drop("_key")
 
 
 def big_against_inner(boxes: DataFrame, share: float = 0.8, order: str = "det_id") -> DataFrame:
-    """J27."""
-    return folds.fold_pages(boxes, "det_id", folds.big_against_inner(share, order))
+    """A box with two or more others inside takes them over or goes, by score."""
+    return growth.settled(boxes, order, growth.outvoting(share), share, None).drop("_key")
 
 
 def layout_regions(dets: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions import geom as g
 from ..functions import html_tables as H
 from ..functions import text as tx
 from . import folds
+from .grids import gather_cell_texts, logical_boxes, structure_boxes  # noqa: F401  W13, W15, W16
 from .pairs import meeting_pairs
 
 A, B = g.box("a"), g.box("b")
@@ -48,15 +49,6 @@ def match_text_to_ruled_cells(texts: DataFrame, cells: DataFrame) -> DataFrame:
     return pairs.select(F.col("a.table_id").alias("table_id"), F.col("a.text_id").alias("text_id"), F.col("b.cell_no").alias("cell_no"))
 
 
-def gather_cell_texts(texts: DataFrame) -> DataFrame:
-    """Texts of each cell by row, one blank per 10 points between pieces of a row.
-
-    Rows (table_id, cell_no, text_id, box, text) in; (table_id, cell_no, pos, text) out. One fold per
-    table, not per cell, so that small cells do not cost a group each.
-    """
-    return folds.fold_groups(texts, TABLE, folds.gather_rows(), "table_id bigint, cell_no bigint, pos bigint, text string")
-
-
 # ---- grids
 
 
@@ -67,16 +59,6 @@ def cell_rows(cells: DataFrame, step: int = 10) -> DataFrame:
     return cells.withColumn("opens", opens).withColumn("row_no", F.sum("opens").over(along)).drop("opens")
 
 
-def logical_boxes(cells: DataFrame) -> DataFrame:
-    """(table_id, cell_no, r0, r1, c0, c1) from cell boxes with ``row_no``."""
-    return folds.fold_groups(cells, TABLE, folds.grid_of_boxes, "table_id bigint, cell_no bigint, r0 bigint, r1 bigint, c0 bigint, c1 bigint")
-
-
-def structure_boxes(tokens: DataFrame) -> DataFrame:
-    """The same from structure tokens (table_id, pos, token)."""
-    return folds.fold_groups(tokens, TABLE, folds.grid_of_tokens, "table_id bigint, cell_no bigint, r0 bigint, r1 bigint, c0 bigint, c1 bigint")
-
-
 HTML_CELL = "row_no int, cell_no int, tag string, r0 int, r1 int, c0 int, c1 int, text string"
 
 

@@ -126,18 +126,71 @@ def xy_cut(boxes, ids=None):
     return out
 
 
-def settle_rows(boxes, tolerance):
+def outside(a, b):
+    """Share of a's height outside b; None without height."""
+    size = a[3] - a[1]
+    return (size - (min(a[3], b[3]) - max(a[1], b[1]))) / size if size > 0 else None
+
+
+def settle_rows(boxes, tolerance, share=None):
     order = sorted(range(len(boxes)), key=lambda k: (boxes[k][1], boxes[k][0], k))
     for i in range(len(order) - 1):
         for j in range(i, -1, -1):
             p, q = boxes[order[j]], boxes[order[j + 1]]
-            if abs(q[1] - p[1]) < tolerance and q[0] < p[0]:
+            near = share is None or (outside(p, q) or 0) < share or (outside(q, p) or 0) < share
+            if abs(q[1] - p[1]) < tolerance and q[0] < p[0] and near:
                 order[j], order[j + 1] = order[j + 1], order[j]
             else:
                 break
     return order
 
 
+def gather(pieces, gap, share):
+    """Texts of a cell's rows from (box, text) in order: the first piece left takes all that lie on its height, again and again."""
+    out = []
+    while pieces:
+        (head, text), rest = pieces[0], []
+        for box, more in pieces[1:]:
+            if any(s is None or s < share for s in (outside(head, box), outside(box, head))):
+                text += " " * int(max(box[0] - head[2], 0) / gap) + more
+                head = union(head, box)
+            else:
+                rest.append((box, more))
+        out.append(text)
+        pieces = rest
+    return out
+
+
+def gap2(a, b):
+    return max(a[0] - b[2], b[0] - a[2], 0) ** 2 + max(a[1] - b[3], b[1] - a[3], 0) ** 2
+
+
+def pair_by_distance(boxes, kinds):
+    """Parts (kind 1) to bodies (kind 0), pair by pair from the top-left corner of what is free; boxes inside one of their kind are left out."""
+    def inside(k, o):
+        return kinds[k] == kinds[o] and k != o and boxes[k][0] >= boxes[o][0] and boxes[k][1] >= boxes[o][1] and boxes[k][2] <= boxes[o][2] and boxes[k][3] <= boxes[o][3]
+
+    free = [k for k in range(len(boxes)) if not any(inside(k, o) for o in range(len(boxes)))]
+    free.sort(key=lambda k: (kinds[k], boxes[k][0] ** 2 + boxes[k][1] ** 2, k))
+    bodies, parts, pairs = [k for k in free if kinds[k] == 0], [k for k in free if kinds[k] == 1], []
+    while len({b for b, _ in pairs}) < len(bodies):
+        if not free:
+            break
+        x, y = min(boxes[k][0] for k in free), min(boxes[k][1] for k in free)
+        ranked = sorted(free, key=lambda k: (boxes[k][0] - x) ** 2 + (boxes[k][1] - y) ** 2)
+        others = [k for k in ranked if kinds[k] != kinds[ranked[0]]]
+        if not others:
+            break
+        other = min(others, key=lambda k: gap2(boxes[ranked[0]], boxes[k]))
+        body, part = sorted((ranked[0], other), key=lambda k: kinds[k])
+        free.remove(body)
+        if gap2(boxes[body], boxes[part]) < 9 * min(gap2(boxes[b], boxes[part]) for b in bodies):
+            free.remove(part)
+            pairs.append((body, part))
+    pairs += [(min(bodies, key=lambda b: gap2(boxes[b], boxes[p])), p) for p in parts if p in free and bodies]
+    return pairs + [(b, None) for b in bodies if b not in {x for x, _ in pairs}]
+
+
 def random_pages(n_pages, n_boxes, seed, size=100):
     """Pages with near copies, equal boxes, zero areas and score ties."""
     rnd = random.Random(seed)
@@ -158,3 +211,12 @@ def random_pages(n_pages, n_boxes, seed, size=100):
                 boxes.append((x0, y0, x0 + rnd.choice([0, 10, 20, 40]), y0 + rnd.choice([5, 10, 30])))
         pages.append((boxes, [rnd.randint(0, 4) / 4 for _ in boxes]))
     return pages
+
+
+def random_clusters(n_clusters, n_boxes, seed):
+    """Boxes of clusters far from each other, in mixed order; inside a cluster they nearly coincide."""
+    rnd = random.Random(seed)
+    boxes = [(300 * c + rnd.randint(0, 14), rnd.randint(0, 6), 300 * c + 60 + rnd.randint(0, 14), 40 + rnd.randint(0, 6))
+             for c in range(n_clusters) for _ in range(n_boxes)]
+    rnd.shuffle(boxes)
+    return boxes
