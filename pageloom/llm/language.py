@@ -101,40 +101,54 @@ class Lattice:
         return lengths, out
 
 
+def _lifted(value: np.ndarray, lift: np.ndarray, at: int, onward: slice) -> None:
+    """Raises values at place ``at`` that are very small, and those that build on them, so that long words do not underflow."""
+    low = (value[:, at] < 1 / _UP) & (value[:, at] > 0)
+    if low.any():
+        w, k = np.nonzero(low)
+        value[w, onward, k] *= _UP
+        lift[w, k] += _DOWN
+
+
 def forward(lattice: Lattice, prob: np.ndarray, words: list[bytes]):
-    """log P(word) for each language, and what the backward pass needs. ``prob``: (pieces, languages)."""
+    """log P(word) for each language, and what the backward pass needs: forward values, the log factor each place has been raised by,
+    lengths, edges. ``prob``: (pieces, languages). A word that no pieces make has probability 0."""
     lengths, edges = lattice.edges(words)
     alpha = np.zeros((len(words), len(edges) + 1, prob.shape[1]))
     alpha[:, 0] = 1
     lift = np.zeros((len(words), prob.shape[1]))
+    raised = np.zeros_like(alpha)
     for start, here in enumerate(edges):
-        low = (alpha[:, start] < 1 / _UP) & (alpha[:, start] > 0)
-        if low.any():  # so that long words do not underflow
-            w, k = np.nonzero(low)
-            alpha[w, start:, k] *= _UP
-            lift[w, k] += _DOWN
+        _lifted(alpha, lift, start, slice(start, None))
+        raised[:, start] = lift
         for n, rows, ids in here:
             alpha[rows, start + n] += alpha[rows, start] * prob[ids]
     ends = alpha[np.arange(len(words)), lengths]
-    return np.log(np.maximum(ends, 1e-300)) - lift, alpha, lengths, edges
+    return np.log(np.maximum(ends, 1e-300)) - lift, alpha, raised, lengths, edges
 
 
 def expected(lattice: Lattice, prob: np.ndarray, words: list[bytes], n: np.ndarray) -> np.ndarray:
-    """Expected piece counts over all segmentations, (pieces, languages); ``n``: how often each word occurs in each language."""
+    """Expected piece counts over all segmentations, (pieces, languages); ``n``: how often each word occurs in each language.
+
+    Forward and backward values are raised each on its own, so their product is taken in logarithms.
+    """
     total = np.zeros_like(prob)
-    _, alpha, lengths, edges = forward(lattice, prob, words)
-    width = len(edges)
+    whole, alpha, raised, lengths, edges = forward(lattice, prob, words)
     beta = np.zeros_like(alpha)
     beta[np.arange(len(words)), lengths] = 1
-    for start in range(width - 1, -1, -1):
-        for size, rows, ids in edges[start]:
-            beta[rows, start] += prob[ids] * beta[rows, start + size]
-    whole = np.maximum(beta[:, 0], 1e-300)
-    for start, here in enumerate(edges):
-        for size, rows, ids in here:
-            part = alpha[rows, start] * prob[ids] * beta[rows, start + size] / whole[rows] * n[rows]
-            for k in range(prob.shape[1]):
-                total[:, k] += np.bincount(ids, part[:, k], len(prob))
+    lift = np.zeros((len(words), prob.shape[1]))
+    with np.errstate(divide="ignore"):
+        before, logs = np.log(alpha) - raised, np.log(prob)
+        for start in range(len(edges) - 1, -1, -1):
+            for size, rows, ids in edges[start]:
+                beta[rows, start] += prob[ids] * beta[rows, start + size]
+            # what edges from here can reach has been raised as often as this place
+            for size, rows, ids in edges[start]:
+                part = before[rows, start] + logs[ids] + np.log(beta[rows, start + size]) - lift[rows] - whole[rows]
+                part = np.exp(part) * n[rows]
+                for k in range(prob.shape[1]):
+                    total[:, k] += np.bincount(ids, part[:, k], len(prob))
+            _lifted(beta, lift, start, slice(start, start + lattice.longest + 1))
     return total
 
 
@@ -184,10 +198,10 @@ def train(counted: dict[str, Counter], p: Params = Params()) -> Model:
     for _ in range(p.rounds if words else 0):
         total = np.full_like(prob, p.smooth)
         for part in groups(words):
-            short = [k for k in part if len(words[k]) <= 64]  # longer ones could underflow in the plain backward pass
-            if short:
-                total += expected(lattice, prob, [words[k] for k in short], n[short])
+            total += expected(lattice, prob, [words[k] for k in part], n[part])
         prob = total / total.sum(axis=0)
+        if not np.isfinite(prob).all():
+            raise ArithmeticError("piece probabilities are not finite")
     return Model(languages, pieces, prob, p)
 
 

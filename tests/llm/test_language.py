@@ -83,6 +83,50 @@ def test_held_out_texts_and_odd_rows(spark, clashing):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def unspaced(first, last, seed, n):
+    """A text of one long word from a range of letters, of which some are frequent."""
+    r = random.Random(seed)
+    letters = [chr(c) for c in range(first, last) if chr(c).isalpha()]
+    return "".join(letters[int(len(letters) * r.random() ** 3)] for _ in range(n))
+
+
+SCRIPTS = {"zh": (0x4E00, 0x5200), "ja": (0x3041, 0x3097), "ko": (0xAC00, 0xB000), "th": (0x0E01, 0x0E2F)}
+
+
+def test_scripts_without_spaces(spark):
+    """Words of any length are learned, also such that no table of plain probabilities could hold."""
+    rows = [(k, unspaced(*SCRIPTS[x], k, 5 + k % 140), x) for k in range(400) for x in [list(SCRIPTS)[k % 4]]]
+    rows += [(1000 + k, sentence("aa", k), "aa") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(docs, F.col("doc_id") % 5 != 2, Params(per_language=60))
+    assert np.isfinite(model.prob).all()
+    held = docs.filter("doc_id % 5 = 2").select("lang", identify(model, "text").alias("l")).collect()
+    for x in (*SCRIPTS, "aa"):
+        assert np.mean([r.l.lang_pred == x for r in held if r.lang == x]) > 0.95, x
+
+
+def test_two_mixtures_of_one_script(spark):
+    """The same letters with different frequencies, in words of 15."""
+    def text(k, x):
+        r = random.Random(k)
+        return "。".join("".join(chr(0x4E00 + int(300 * (r.random() ** 3 if x == "u" else 1 - r.random() ** 3))) for _ in range(15)) for _ in range(4))
+
+    docs = spark.createDataFrame([(k, text(k, "uv"[k % 2]), "uv"[k % 2]) for k in range(300)], "doc_id long, text string, lang string")
+    model = fit(docs, F.col("doc_id") % 3 != 2, Params(per_language=60))
+    held = docs.filter("doc_id % 3 = 2").select("lang", identify(model, "text").alias("l")).collect()
+    assert np.mean([r.l.lang_pred == r.lang for r in held]) > 0.95
+
+
+def test_expected_counts_of_words_that_underflow():
+    """A word with probability 1e-900: as many pieces are expected as it must have, language by language."""
+    prob = np.full((len(PIECES), 2), 1e-9)
+    prob[PIECES.index(b"a"), 1] = 1e-3
+    word = b" " + b"cb" * 60
+    total = expected(Lattice(PIECES), prob, [word], np.ones((1, 2)))
+    size = np.array([len(p) for p in PIECES], float)
+    assert np.isfinite(total).all() and np.allclose(total.T @ size, len(word))
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     model = fit(docs, F.lit(True))
