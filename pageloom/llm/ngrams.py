@@ -3,7 +3,8 @@
 A text is lower-cased (A-Z) and its white space becomes a space. Features are the words and the byte n-grams that do not reach
 over a space, where the space before and after a word counts as a part of it. A word equal to the one before it also gives a
 repeat mark, the same for all words. Each feature goes to one of ``2**bits`` buckets. Every feature of the whole text counts;
-memory is bounded by the block (a long text is read in pieces that end between words).
+memory is bounded by the block (a long text is read in pieces that end between words). The features of a text, and sums over
+them, do not depend on the texts beside it.
 """
 
 from __future__ import annotations
@@ -33,8 +34,13 @@ class Hasher:
         h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
         return (h >> np.uint32(32 - self.bits)).astype(np.int32)
 
-    def families(self, raw: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(position, bucket) of the features of each family; ``raw`` starts and ends with a space."""
+    @property
+    def repeat_mark(self) -> int:
+        return int(self._bucket(np.zeros(1, np.uint32), 2)[0])
+
+    def families(self, raw: bytes, piece: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(position, bucket) of the features of each family; ``raw`` starts and ends with a space. ``piece``: number of the
+        piece at each position; no repeat mark reaches from one to the next."""
         buf = _LOWER[np.frombuffer(raw, np.uint8)]
         n = len(buf)
         space = buf == SPACE
@@ -54,8 +60,11 @@ class Hasher:
                 mixed[space] = 0
                 whole = np.add.reduceat(mixed, starts, dtype=np.uint32)
                 yield starts, self._bucket(whole, 1)
-                again = starts[1:][whole[1:] == whole[:-1]]
-                yield again, np.full(len(again), self._bucket(np.zeros(1, np.uint32), 2)[0])
+                same = whole[1:] == whole[:-1]
+                if piece is not None:
+                    same &= piece[starts[1:]] == piece[starts[:-1]]
+                again = starts[1:][same]
+                yield again, np.full(len(again), self.repeat_mark)
         if self.sizes:
             h = value.copy()
             for k in range(2, self.sizes[-1] + 1):
@@ -85,11 +94,24 @@ class Hasher:
                 held = held[end + 1:]
         yield held
 
+    @staticmethod
+    def edge_repeats(pieces: list[bytes]) -> int:
+        """How often a piece of a text begins with the word that the piece before it ended with."""
+        out, last = 0, None
+        for words in (p.lower().split() for p in pieces) if len(pieces) > 1 else ():
+            if words:
+                out += words[0] == last
+                last = words[-1]
+        return out
+
     def counts(self, text: memoryview | None) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of one text, ascending, and how often each occurs."""
         found = np.zeros(0, np.int32), np.zeros(0, np.int64)
-        for piece in self.pieces(text) if text is not None else ():
-            buckets = [b for _, b in self.families(b" " + piece + b" ")]
+        pieces = list(self.pieces(text)) if text is not None else []
+        each = [[b for _, b in self.families(b" " + p + b" ")] for p in pieces]
+        if self.words:
+            each.append([np.full(self.edge_repeats(pieces), self.repeat_mark)])
+        for buckets in each:
             if buckets:
                 ids, n = np.unique(np.concatenate(buckets), return_counts=True)
                 if len(found[0]):
@@ -99,21 +121,40 @@ class Hasher:
         return found
 
     def sums(self, block: list[memoryview | None], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sum of the weights of all features of each text of the block, and the number of features."""
+        """Sum of the weights of all features of each text of the block, and the number of features.
+
+        Every piece is summed for itself and in order, so a text has the same sum, to the last bit, in any block.
+        """
         total, number = np.zeros(len(block)), np.zeros(len(block), np.int64)
-        parts = [(i, p) for i, text in enumerate(block) if text is not None for p in self.pieces(text)]
-        while parts:
-            taken, size = [], 0
-            while parts and (not taken or size + len(parts[-1][1]) <= PIECE):
-                taken.append(parts.pop())
-                size += len(taken[-1][1])
-            raw = b" " + b" ".join(p for _, p in taken) + b" "
-            ends = np.cumsum([len(p) + 1 for _, p in taken])
-            owner = np.array([i for i, _ in taken])
-            for at, bucket in self.families(raw):
-                run = np.concatenate([[0.0], np.cumsum(weight[bucket], dtype=np.float64)])
-                edge = np.searchsorted(at, ends, "left")
-                edge = np.concatenate([[0], edge])
-                np.add.at(total, owner, np.diff(run[edge]))
-                np.add.at(number, owner, np.diff(edge))
+        taken: list[tuple[int, bytes]] = []
+        size = 0
+        for i, text in enumerate(block):
+            pieces = list(self.pieces(text)) if text is not None else []
+            for p in pieces:
+                if taken and size + len(p) > PIECE:
+                    self._add(taken, weight, total, number)
+                    taken, size = [], 0
+                taken.append((i, p))
+                size += len(p) + 1
+            if self.words and (again := self.edge_repeats(pieces)):
+                self._add(taken, weight, total, number)
+                taken, size = [], 0
+                total[i] += again * float(weight[self.repeat_mark])
+                number[i] += again
+        self._add(taken, weight, total, number)
         return total, number
+
+    def _add(self, taken: list[tuple[int, bytes]], weight: np.ndarray, total: np.ndarray, number: np.ndarray) -> None:
+        if not taken:
+            return
+        raw = b" " + b" ".join(p for _, p in taken) + b" "
+        # the space before a piece belongs to it, as an n-gram may begin there
+        piece = np.repeat(np.arange(len(taken), dtype=np.int32), [len(p) + 1 for _, p in taken])
+        piece = np.append(piece, np.int32(len(taken) - 1))
+        sums, counts = np.zeros(len(taken)), np.zeros(len(taken), np.int64)
+        for at, bucket in self.families(raw, piece):
+            sums += np.bincount(piece[at], weight[bucket], len(taken))
+            counts += np.bincount(piece[at], minlength=len(taken))
+        for k, (i, _) in enumerate(taken):
+            total[i] += sums[k]
+            number[i] += counts[k]

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pageloom.llm import quality_embed, quality_rules, toxicity
+from pageloom.llm import ngrams, quality_embed, quality_rules, toxicity
 from pageloom.llm.common import fold
 from pageloom.llm.linear import train
 from pageloom.llm.ngrams import Hasher
@@ -96,6 +96,57 @@ def test_long_texts_in_pieces_give_the_same_features(prose):
     assert n.tolist() == [whole[1].sum(), 0, 0] and abs(total[0] - weight[whole[0]] @ whole[1]) < 1e-2
 
 
+def slow_features(h, text):
+    """The features of one text by a plain loop over its words and characters: buckets with repeats."""
+    def bucket(x, family):
+        return int(h._bucket(np.array([x], np.uint32), family)[0])
+
+    raw = bytes(32 if b in range(9, 14) else b + 32 if 65 <= b <= 90 else b for b in text.encode())
+    words = raw.split()
+    out = [bucket(sum(int(ngrams._BYTE[b]) * int(ngrams._PLACE[k & 63]) for k, b in enumerate(w)) & 0xFFFFFFFF, 1) for w in words]
+    out += [h.repeat_mark for a, b in zip(words, words[1:]) if a == b]
+    for w in words:
+        full = b" " + w + b" "
+        for size in h.sizes:
+            for at in range(len(full) - size + 1):
+                gram = full[at:at + size]
+                value = int(ngrams._BYTE[gram[0]]) + sum(int(ngrams._BYTE[b]) * int(ngrams._PLACE[k]) for k, b in enumerate(gram[1:], 2))
+                out.append(bucket(value & 0xFFFFFFFF, size))
+    return Counter(out)
+
+
+def test_scores_depend_on_the_text_alone(prose, monkeypatch):
+    """Any batch gives each text the features of a plain loop and, to the last bit, the sums of the text alone."""
+    monkeypatch.setattr(ngrams, "PIECE", 700)
+    h, r = Hasher(BITS), random.Random(3)
+    weight = np.random.default_rng(0).normal(size=1 << BITS).astype(np.float32)
+    texts = ["bar baz", "foo bar", "bar", "bar bar", "", " ", "É é\tÉ", "Go go\ngo", *(prose(k, r.randrange(1, 60)) for k in range(30)),
+             "again " * 600, prose(3, 400), "x" * 3000 + " y y", "ab" * 40 + " " + "ab" * 40]
+    alone = {t: h.sums([memoryview(t.encode())], weight) for t in texts}
+    for t in texts:
+        want = slow_features(h, t)
+        ids, n = h.counts(memoryview(t.encode()))
+        assert dict(zip(ids.tolist(), n.tolist())) == want, t[:40]
+        assert alone[t][1][0] == want.total() and abs(alone[t][0][0] - sum(float(weight[k]) * c for k, c in want.items())) < 1e-6 * (1 + want.total())
+    for _ in range(5):
+        r.shuffle(texts)
+        total, n = h.sums([memoryview(t.encode()) for t in texts], weight)
+        assert total.tolist() == [alone[t][0][0] for t in texts] and n.tolist() == [alone[t][1][0] for t in texts]
+
+
+def test_scores_of_long_texts_in_any_batch(documents, prose):
+    long = " ".join(prose(1, 400) for _ in range(450))  # beyond a block of 1 MB
+    assert len(long) > 1 << 20
+    model = train([Example(k % 2, *Hasher(BITS).counts(memoryview(prose(k, 40).encode()))) for k in range(40)], Hasher(BITS))
+    pairs = [(k, prose(k, 20)) for k in range(20)] + [(50, long), (51, None), (52, "")]
+    seen = {}
+    for seed, parts in ((0, 1), (1, 3)):
+        rows = pairs[:]
+        random.Random(seed).shuffle(rows)
+        for x in documents(rows).repartition(parts).select("doc_id", toxicity.score(model, "text").alias("s")).collect():
+            assert seen.setdefault(x.doc_id, x.s) == x.s
+
+
 def test_few_and_odd_labels(documents, spark, prose):
     docs = documents([(1, "a b"), (1, "a b"), (2, None), (None, "x"), (3, "")])
     for rows in ([], [(1, 1, 1)], [(None, 1, 0), (1, None, None), (9, 0, 0), (2, 0, 1), (2, 1, 0)]):
