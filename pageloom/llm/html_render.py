@@ -130,36 +130,112 @@ def build(source: str) -> tuple[Node, list[str]]:
     return root, styles
 
 
-def hiding(styles: list[str]) -> frozenset[str]:
-    """Simple selectors (tag, .class, #id) that style sheets give display:none or visibility:hidden."""
-    found = set()
-    for sheet in styles:
-        if "display" in sheet or "visibility" in sheet:
-            for selectors, body in RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-                if shown(body) is False:
-                    found |= {s.strip().lower() for s in selectors.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", s)}
-    return frozenset(found)
+Rank = tuple[bool, int, int]  # important, specificity, place
+#: part of a selector -> (rank, tag, classes, id, property, value) of the declarations under it
+Rules = dict[str, list[tuple[Rank, str, frozenset[str], str, str, str]]]
+COMPOUND = re.compile(r"([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+)*)")
+LOOKED_AT = ("display", "visibility")
+INLINE = 1 << 20  # specificity of a style attribute
+
+
+def declarations(body: str) -> Iterator[tuple[str, bool, str]]:
+    """(property, important, value) of display and visibility, in order."""
+    for part in body.split(";"):
+        name, _, value = part.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        if name in LOOKED_AT:
+            value, bang, _ = value.partition("!")
+            if re.fullmatch(r"[a-z -]+", value.strip()):
+                yield name, bool(bang), value.strip()
+
+
+def for_screen(query: str) -> bool:
+    """A media list that holds for a screen of any size."""
+    return any(re.fullmatch(r"\s*(only\s+)?(all|screen)\s*", q) for q in query.lower().split(",")) or not query.strip()
+
+
+def style_rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """(selectors, body) of a style sheet, those inside at-rules that hold for a screen too; other at-rules are left out."""
+    at = 0
+    while at < len(sheet):
+        m = re.compile(r"[{;}]").search(sheet, at)
+        if not m:
+            return
+        prelude, at = sheet[at:m.start()].strip(), m.end()
+        if m[0] != "{":
+            continue
+        depth, start = 1, at
+        for b in re.compile(r"[{}]").finditer(sheet, at):
+            depth += 1 if b[0] == "{" else -1
+            if not depth:
+                break
+        end = b.start() if not depth else len(sheet)
+        body, at = sheet[start:end], end + 1
+        if not prelude.startswith("@"):
+            yield prelude, body
+        else:
+            name, _, query = prelude[1:].partition(" ")
+            if name.lower() in ("layer", "supports") or name.lower().partition("(")[0] == "media" and for_screen(prelude[6:]):
+                yield from style_rules(body)
 
 
-def shown(style: str) -> bool | None:
-    flat = style.lower().replace(" ", "")
-    if "display:none" in flat or "visibility:hidden" in flat or "visibility:collapse" in flat:
-        return False
-    return None
+def read_rules(styles: list[str]) -> Rules:
+    """Declarations of display and visibility under selectors of a tag, classes and an id; others (descendants, states) are left out."""
+    found: Rules = {}
+    place = 0
+    for sheet in styles:
+        if "display" not in sheet and "visibility" not in sheet:
+            continue
+        for selectors, body in style_rules(re.sub(r"/\*.*?(\*/|\Z)|<!--|-->", "", sheet, flags=re.S)):
+            declared = list(declarations(body))
+            for selector in selectors.split(",") if declared else ():
+                m = COMPOUND.fullmatch(selector.strip())
+                if not m or not selector.strip():
+                    continue
+                parts = re.findall(r"[.#][\w-]+", m[2])
+                tag = "" if m[1] in (None, "*") else m[1].lower()
+                classes = frozenset(x[1:] for x in parts if x[0] == ".")
+                ids = [x[1:] for x in parts if x[0] == "#"]
+                weight = 10_000 * len(ids) + 100 * len(classes) + bool(tag)
+                key = "#" + ids[0] if ids else "." + min(classes) if classes else tag or "*"
+                for name, important, value in declared:
+                    place += 1
+                    found.setdefault(key, []).append(((important, weight, place), tag, classes, ids[0] if ids else "", name, value))
+    return found
 
 
-def visible(node: Node, rules: frozenset[str]) -> bool:
+def styled(node: Node, rules: Rules) -> dict[str, str]:
+    """Declared display and visibility of an element: the important one, then the most specific, then the last wins."""
+    best: dict[str, tuple[Rank, str]] = {}
     a = node.attrs
+    if rules:
+        classes = frozenset(a.get("class", "").split())
+        for key in ("*", node.tag, "#" + a.get("id", ""), *("." + c for c in classes)):
+            for rank, tag, wanted, id_, name, value in rules.get(key, ()):
+                if tag in ("", node.tag) and wanted <= classes and id_ in ("", a.get("id")) and (name not in best or rank > best[name][0]):
+                    best[name] = rank, value
+    if "style" in a:
+        for place, (name, important, value) in enumerate(declarations(a["style"])):
+            rank = (important, INLINE, place)
+            if name not in best or rank > best[name][0]:
+                best[name] = rank, value
+    return {name: value for name, (_, value) in best.items()}
+
+
+def visible(node: Node, rules: Rules, seen: bool = True) -> tuple[bool, bool]:
+    """(there at all, its own text is seen). A hidden element has no place; one that is not seen may have children that are."""
     if node.tag in UNSEEN:
-        return False
-    if a:
-        if "hidden" in a or (node.tag == "dialog" and "open" not in a) or ("style" in a and shown(a["style"]) is False):
-            return False
-        if rules and ((c := a.get("class")) and any("." + x.lower() in rules for x in c.split()) or "#" + a.get("id", "").lower() in rules):
-            return False
-    elif node.tag == "dialog":
-        return False
-    return node.tag not in rules
+        return False, False
+    a = node.attrs
+    style = styled(node, rules) if rules or "style" in a else {}
+    display, visibility = style.get("display"), style.get("visibility")
+    if display == "none" or (display is None and ("hidden" in a or (node.tag == "dialog" and "open" not in a))):
+        return False, False
+    if visibility in ("hidden", "collapse"):
+        seen = False
+    elif visibility in ("visible", "initial"):
+        seen = True
+    return True, seen
 
 
 class Lines:
@@ -213,16 +289,17 @@ class Lines:
             self.done += lines
 
 
-def lay_out(node: Node, out: Lines, rules: frozenset[str], pre: bool = False, depth: int = 0) -> None:
+def lay_out(node: Node, out: Lines, rules: Rules, seen: bool, pre: bool = False, depth: int = 0) -> None:
     number = _first_number(node)
     folded = node.tag == "details" and "open" not in node.attrs
     for kid in node.kids:
         if isinstance(kid, str):
-            if not folded:
+            if seen and not folded:
                 out.keep(kid) if pre else out.add(kid)
             continue
         tag = kid.tag
-        if not visible(kid, rules) or (folded and tag != "summary"):
+        there, own = visible(kid, rules, seen)
+        if not there or (folded and tag != "summary"):
             continue
         if tag == "br":
             out.end(force=True)
@@ -230,7 +307,7 @@ def lay_out(node: Node, out: Lines, rules: frozenset[str], pre: bool = False, de
             out.space()
         elif tag == "table":
             out.space()
-            out.block(table(kid, rules, depth + 1))
+            out.block(table(kid, rules, own, depth + 1))
             out.space()
         elif tag == "li":
             if number is not None:
@@ -238,28 +315,29 @@ def lay_out(node: Node, out: Lines, rules: frozenset[str], pre: bool = False, de
                 mark, number = f"{number}. ", number + 1
             else:
                 mark = "* "
-            inner = rendered(kid, rules, pre, depth + 1)
+            inner = rendered(kid, rules, own, pre, depth + 1)
+            mark = mark if own else " " * len(mark)
             out.block([(mark if k == 0 else " " * len(mark)) + x if x else x for k, x in enumerate(inner or [""])] if inner else [])
         elif tag == "blockquote" or tag == "dd":
             if tag in SPACED:
                 out.space()
-            out.block(["  " + x if x else x for x in rendered(kid, rules, pre, depth + 1)])
+            out.block(["  " + x if x else x for x in rendered(kid, rules, own, pre, depth + 1)])
             if tag in SPACED:
                 out.space()
         elif tag in BLOCK:
             far = tag in SPACED and not (tag in ("ul", "ol", "menu") and node.tag == "li")
             out.space() if far else out.end()
-            lay_out(kid, out, rules, pre or tag == "pre", depth + 1)
+            lay_out(kid, out, rules, own, pre or tag == "pre", depth + 1)
             out.space() if far else out.end()
         elif tag in CELLS:  # outside a table
-            lay_out(kid, out, rules, pre, depth + 1)
+            lay_out(kid, out, rules, own, pre, depth + 1)
             out.add(" ")
         elif tag == "tr" or tag in ROWS or tag == "caption":
             out.end()
-            lay_out(kid, out, rules, pre, depth + 1)
+            lay_out(kid, out, rules, own, pre, depth + 1)
             out.end()
         else:
-            lay_out(kid, out, rules, pre or tag in ("textarea", "xmp"), depth + 1)
+            lay_out(kid, out, rules, own, pre or tag in ("textarea", "xmp"), depth + 1)
 
 
 def _whole(value: str | None, other: int) -> int:
@@ -270,51 +348,84 @@ def _first_number(node: Node) -> int | None:
     return _whole(node.attrs.get("start"), 1) if node.tag == "ol" else None
 
 
-def rendered(node: Node, rules: frozenset[str], pre: bool = False, depth: int = 0) -> list[str]:
+def rendered(node: Node, rules: Rules, seen: bool, pre: bool = False, depth: int = 0) -> list[str]:
     out = Lines()
-    lay_out(node, out, rules, pre, depth)
+    lay_out(node, out, rules, seen, pre, depth)
     out.end()
     while out.done and not out.done[-1]:
         out.done.pop()
     return out.done
 
 
-def table(node: Node, rules: frozenset[str], depth: int) -> list[str]:
-    """Rows with cells padded to the widest of their column, two spaces between columns; other content of the table comes first."""
-    before, rows, pending = Node("div", {}), [], [node]
-    while pending:
-        here = pending.pop(0)
+Row = list[tuple[Node, bool]]  # cells, and whether their own text is seen
+
+
+def table_rows(node: Node, rules: Rules, seen: bool) -> tuple[list[list[Row]], Node]:
+    """Rows of a table by section, as shown: heads, bodies, feet; and all else that stands in the table."""
+    rest, sections = Node("div", {}), {"thead": [], "tbody": [], "tfoot": []}
+    own: list[Row] = []  # rows without a section of their own
+
+    def read(here: Node, into: list[Row], seen: bool) -> None:
+        nonlocal own
         for kid in here.kids:
             if isinstance(kid, str):
                 if kid.strip():
-                    before.kids.append(kid)
-            elif not visible(kid, rules):
+                    rest.kids.append(kid)
+                continue
+            there, shown = visible(kid, rules, seen)
+            if not there:
                 continue
-            elif kid.tag in ROWS:
-                pending.append(kid)
-            elif kid.tag == "tr":
-                rows.append([c for c in kid.kids if not isinstance(c, str) and c.tag in CELLS and visible(c, rules)])
-                rest = [c for c in kid.kids if (c.strip() if isinstance(c, str) else c.tag not in CELLS)]
-                before.kids += rest
-            elif kid.tag in CELLS:
-                rows.append([kid])
+            if kid.tag in ROWS:
+                section: list[Row] = []
+                sections[kid.tag].append(section)
+                read(kid, section, shown)
+                own = []
+            elif kid.tag == "tr" or kid.tag in CELLS:
+                if here is node:
+                    if not own:
+                        sections["tbody"].append(own)
+                    into = own
+                if kid.tag in CELLS:
+                    into.append([(kid, shown)])
+                    continue
+                cells = [(c, *visible(c, rules, shown)) for c in kid.kids if not isinstance(c, str) and c.tag in CELLS]
+                into.append([(c, x) for c, there, x in cells if there])
+                rest.kids.extend(c for c in kid.kids if (c.strip() if isinstance(c, str) else c.tag not in CELLS))
             elif kid.tag not in ("col", "colgroup"):
-                before.kids.append(kid)
-    grid: list[list[list[str]]] = []
-    for row in rows:
-        cells: list[list[str]] = []
-        for cell in row:
-            cells.append(rendered(cell, rules, False, depth + 1))
-            cells += [[]] * (min(_whole(cell.attrs.get("colspan"), 1), 1000) - 1)
-        grid.append(cells)
-    widths = [0] * max(map(len, grid), default=0)
+                rest.kids.append(kid)
+
+    read(node, own, seen)
+    return sections["thead"] + sections["tbody"] + sections["tfoot"], rest
+
+
+def table(node: Node, rules: Rules, seen: bool, depth: int) -> list[str]:
+    """Rows with cells padded to the widest of their column, two spaces between columns; other content of the table comes first.
+
+    A cell stands in the first column that no cell from above reaches; spans end with their section.
+    """
+    sections, rest = table_rows(node, rules, seen)
+    grid: list[dict[int, list[str]]] = []
+    for rows in sections:
+        held: dict[int, int] = {}  # column -> row of the section from which it is free
+        for r, row in enumerate(rows):
+            at, placed = 0, {}
+            for cell, shown in row:
+                while held.get(at, 0) > r:
+                    at += 1
+                placed[at] = rendered(cell, rules, shown, False, depth + 1)
+                down = _whole(cell.attrs.get("rowspan"), 1) or len(rows)
+                for _ in range(min(max(_whole(cell.attrs.get("colspan"), 1), 1), 1000)):
+                    held[at] = max(held.get(at, 0), r + max(down, 1))
+                    at += 1
+            grid.append(placed)
+    widths = [0] * (max((k for cells in grid for k in cells), default=-1) + 1)
     for cells in grid:
-        for k, lines in enumerate(cells):
+        for k, lines in cells.items():
             widths[k] = max([widths[k], *map(len, lines)])
-    out = rendered(before, rules, False, depth + 1)
+    out = rendered(rest, rules, seen, False, depth + 1)
     for cells in grid:
-        for k in range(max(map(len, cells), default=0)):
-            out.append("  ".join((c[k] if k < len(c) else "").ljust(widths[j]) for j, c in enumerate(cells)).rstrip())
+        for k in range(max(map(len, cells.values()), default=0)):
+            out.append("  ".join((cells[j][k] if j in cells and k < len(cells[j]) else "").ljust(w) for j, w in enumerate(widths)).rstrip())
     return out
 
 
@@ -323,8 +434,9 @@ def page_text(source: str | None) -> str | None:
     if source is None:
         return None
     root, styles = build(source)
-    rules = hiding(styles)
-    return "\n".join(rendered(root, rules)) if visible(root, rules) else ""
+    rules = read_rules(styles)
+    there, seen = visible(root, rules)
+    return "\n".join(rendered(root, rules, seen)) if there else ""
 
 
 def render(pages: DataFrame, column: str = "html") -> DataFrame:

@@ -22,6 +22,21 @@ CASES = {
     "<b>bold<div>in</b> out": "bold\nin out",
     "  lead <b> and </b>  gaps  ": "lead and gaps",
     "<table><tr><td>a<br>b<td>c<tr><td colspan=2>wide one<td>d</table>": "a         c\nb\nwide one     d",
+    "<table><tr><td rowspan=2>A<td>B<tr><td>C<tr><td>D<td>E</table>": "A  B\n   C\nD  E",
+    "<table><tr><td>a<td rowspan=3 colspan=2>wide<td>b<tr><td>c<td>d<tr><td>e<td>f</table>": "a  wide    b\nc          d\ne          f",
+    "<table><tbody><tr><td rowspan=9>a<td>b</tbody><tbody><tr><td>c<td>d</table>": "a  b\nc  d",
+    "<table><tfoot><tr><td>sum<tbody><tr><td>1<tbody><tr><td>2<thead><tr><td>n</table>": "n\n1\n2\nsum",
+    "<style>@media print{.x{display:none}} @media (max-width:9px){.y{display:none}}</style><p class=x>a<p class=y>b": "a\n\nb",
+    "<style>@media screen , print{.x{display:none}} @supports (x:y){.y{display:none}} .z{color:red}</style><p class=x>a<p class=y>b<p class=z>c": "c",
+    "<style>@import 'x'; @font-face{src:y} .x{display:none}</style><p class=x>a<p>b": "b",
+    "<style>.a{display:none} .a{display:block} .b{display:block} .b{display:none}</style><p class=a>a<p class=b>b": "a",
+    "<style>.a{display:none} p{display:block} #i{display:none!important}</style><p class=a>a<p class=a style='display:block'>b<p id=i style='display:block'>c": "b",
+    "<style>p.a.b{display:none} .a{display:block}</style><p class='b a'>a<p class=a>b<div class='a b'>c</div>": "b\n\nc",
+    "<p style='display:none;display:block'>a<p style='display:block;display:none'>b<p hidden style='display:block'>c": "a\n\nc",
+    "<div style='visibility:hidden'>a <span style='visibility:visible'>b</span> c <i>d</i></div>e": "b\ne",
+    "<style>.v{visibility:hidden}</style><table><tr><td class=v>long<td>b<tr><td>c<td>d</table>": "   b\nc  d",
+    "<style>div p{display:none} a:hover{display:none}</style><div><p>x</p></div><a>y</a>": "x\n\ny",
+    "<style>/* .a{display:none} */ <!-- .b{display:none} --></style><p class=a>a<p class=b>b": "a",
     "</p>x</div></li>": "x",
     "<textarea>a &amp;\n b</textarea>": "a &\n b",
 }
@@ -63,8 +78,9 @@ class Plain(HTMLParser):
         self.out.append("" if self.skip else data)
 
 
-def test_words_of_the_given_pages(spark):
-    for r in render(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")).collect():
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_words_of_the_given_pages(spark, sf):
+    for r in render(spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")).collect():
         parser = Plain()
         parser.feed(r.html)
         parser.close()
