@@ -98,11 +98,13 @@ def shifted_chars(t):
                           (F.col("x0") + 2).alias("x0"), "y0", (F.col("x1") + 2 - narrow).alias("x1"), "y1")
 
 
-@query("J17_fill_chars_in_spans", ["chars", "spans"], "SELECT doc_id,page_idx,span_id,COUNT(*) n,MIN(i) lo,MAX(i) hi FROM won GROUP BY 1,2,3", SHIFT)
+@query("J17_fill_chars_in_spans", ["chars", "spans"], """
+SELECT doc_id,page_idx,span_id,COUNT(*) n,MIN(i) lo,MAX(i) hi,CAST(SUM(char_id) AS BIGINT) ids,CAST(SUM(char_id*i) AS BIGINT) places FROM won GROUP BY 1,2,3""", SHIFT)
 def j17(t):
     ranked = S.rank_spans(t.spans)
     won = S.fill_chars(shifted_chars(t), ranked)
-    found = won.groupBy(*S.SPAN_ORD).agg(F.count("*").alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi"))
+    found = won.groupBy(*S.SPAN_ORD).agg(F.count("*").alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi"),
+                                         F.sum("char_id").alias("ids"), F.sum(F.col("char_id") * F.col("i")).alias("places"))
     return found.join(ranked.select(*S.SPAN_ORD, "span_id"), S.SPAN_ORD).drop("ord")
 
 
