@@ -102,9 +102,10 @@ def alignments(index: DataFrame, lead: DataFrame, p: Params) -> DataFrame:
 
 def find(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """``docs`` plus ``words`` and ``matches``: array of (item_id, starts), the places in the document, from 0, where windows of the
-    item begin. Rows that share a doc_id but differ in text are told apart; repeated rows get the same result each.
+    item begin. With ``slop`` also ``near``: array of (item_id, place) of proximity matches, where the item's rarest words of a window
+    stand nearly as far apart as in the item but no window is the same; place is that of the item's start. Rows that share a doc_id but differ in text are told apart; repeated rows get the same result each.
 
-    A benchmark without words, or an empty one, matches nothing. Columns named words, matches, key or _c are replaced.
+    A benchmark without words, or an empty one, matches nothing. Columns named words, matches, near (with slop), key or _c are replaced.
     """
     found = items(benchmark)
     lead = leaders(found, term_counts(docs, found, p), p)
@@ -123,8 +124,14 @@ def find(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFra
         same = F.filter(places, lambda s: F.slice("words", s + c["shift"] + 1, size) == F.slice(c.w, s + 1, size))
         return F.struct(c.item_id.alias("item_id"), F.transform(same, lambda s: s + c["shift"]).alias("starts"), size.alias("size"))
 
-    matches = F.filter(F.transform(F.coalesce("_c", F.array().cast(per_doc.schema["_c"].dataType)), starts), lambda m: F.size(m.starts) > 0)
-    return joined.withColumn("matches", matches).drop("_c")
+    aligned = F.coalesce("_c", F.array().cast(per_doc.schema["_c"].dataType))
+    matches = F.filter(F.transform(aligned, starts), lambda m: F.size(m.starts) > 0)
+    out = joined.withColumn("matches", matches)
+    if p.slop:
+        apart = F.filter(aligned, lambda c: F.size(starts(c).starts) == 0)
+        out = out.withColumn("near", F.array_distinct(F.transform(apart, lambda c: F.struct(
+            c.item_id.alias("item_id"), F.greatest(F.lit(0), c["shift"]).alias("place")))))
+    return out.drop("_c")
 
 
 def report(found: DataFrame) -> DataFrame:

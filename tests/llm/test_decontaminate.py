@@ -78,6 +78,10 @@ def test_proximity(documents, bench):
         lead = leaders(b, term_counts(docs, b, p), p)
         found[slop] = {r.doc_id for r in alignments(postings(docs, lead, p), lead, p).collect()}
     assert 3 in found[0] and found[0] <= found[1] and 1 in found[1] and 2 not in found[1]
+    got = {r.doc_id: r for r in find(docs, item, Params(slop=1)).collect()}
+    assert [m.item_id for m in got[1].near] == ["1"] and not got[1].matches
+    assert not got[2].near and not got[2].matches
+    assert [(m.item_id, m.starts) for m in got[3].matches] == [("1", [0])] and not got[3].near
 
 
 def test_no_python_in_the_plan(documents, bench):
