@@ -6,7 +6,7 @@ import pytest
 
 import twins
 from pageloom.operators import detections as D
-from pageloom.operators import blocks, grids, ordering, settle, spans
+from pageloom.operators import blocks, grids, growth, ordering, settle, spans
 
 PAGES = twins.random_pages(60, 14, seed=7)
 
@@ -68,6 +68,36 @@ def test_big_against_inner(boxes):
     assert collected(D.big_against_inner(boxes)) == expected(lambda b, s: twins.big_or_inner(b, s, 0.8))
 
 
+def test_pages_in_batches_of_any_size():
+    """Pages that reach over batches come out whole, once, and with the same result."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(8)
+    rows = [(p // 5, p % 5 if p % 7 else None, *b) for p, (bs, _) in enumerate(PAGES) for b in bs]
+    table = pa.table({c: pa.array([r[k] for r in rows], pa.int64()) for k, c in enumerate(["doc_id", "page_idx", "x0", "y0", "x1", "y1"])})
+    want = [[tuple(r.values()) for r in t.to_pylist()] for t in growth.whole_groups(iter(table.to_batches(len(rows))), ["doc_id", "page_idx"])]
+    assert [r for g in want for r in g] == rows
+    for _ in range(20):
+        cuts = sorted(rnd.randrange(len(rows) + 1) for _ in range(rnd.choice([1, 5, 60, 400])))
+        batches = [b for a, z in zip([0, *cuts], [*cuts, len(rows)]) for b in (table.slice(a, z - a).to_batches() or [pa.RecordBatch.from_pylist([], schema=table.schema)])]
+        got = [[tuple(r.values()) for r in t.to_pylist()] for t in growth.whole_groups(iter(batches), ["doc_id", "page_idx"])]
+        assert [r for g in got for r in g] == rows
+        ends = {(g[-1][:2], h[0][:2]) for g, h in zip(got, got[1:])}
+        assert all(a != b for a, b in ends)
+    assert list(growth.whole_groups(iter([]), ["doc_id"])) == []
+    # all pages at once or one by one
+    for threshold in (0.5, 0.8):
+        xy = np.array([b for bs, _ in PAGES for b in bs], float)
+        page = np.array([p for p, (bs, _) in enumerate(PAGES) for _ in bs])
+        score, number = np.zeros(len(xy)), np.arange(len(xy))
+        stay, now, _ = growth.settle(page, xy, score, number, growth.absorbing(threshold), threshold, threshold)
+        for p in set(page.tolist()):
+            own = page == p
+            alone, boxes, _ = growth.settle(page[own], xy[own], score[own], number[own], growth.absorbing(threshold), threshold, threshold)
+            assert (alone == stay[own]).all() and (boxes == now[own]).all()
+
+
 def test_growth_of_chains(spark):
     """Stairs of boxes, each nearly inside the next one's hull: one long group."""
     boxes = [(3 * k, 0, 3 * k + 40, 20) for k in range(30)] + [(500, 0, 540, 20), (501, 0, 541, 20)]
