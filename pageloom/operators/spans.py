@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geom as g
 from ..functions import text as tx
+from ..session import materialize
 from . import settle
 from .pairs import PAGE, meeting_pairs, on_grid, only, without
 
@@ -132,6 +133,47 @@ def needs_late_recognition(content: Column, b: g.Box) -> Column:
     return F.length(content) * g.height(b) < g.width(b) * 0.5
 
 
+# Blocks that give no text to the spans in them.
+NO_TEXT = ["image_body", "table_body", "interline_equation"]
+
+
+def fill_text_layer(spans: DataFrame, chars: DataFrame, lines: DataFrame, blocks: DataFrame, discarded: DataFrame) -> DataFrame:
+    """Text spans with the text of the page's own characters (J17, W19) or, if they stand upright (PF12), of its lines.
+
+    ``chars``: page, char_id, ``i`` (place on the page), ch, box; ``lines``: page, line_id, text, box. Where either has ``rotation``
+    (radians, of the line), skewed ones take no part (PF11). Only spans that lie by more than half in a block of text are filled;
+    all others pass as they are. Upright spans that no line fills are dropped. Spans with too little text get none and ``late``,
+    for a recogniser.
+    """
+    chars, lines = (upright_lines(df, F.col("rotation")) if "rotation" in df.columns else df for df in (chars, lines))
+    text = mark_vertical(spans.where("type = 'text'"))
+    targets = blocks.select(*PAGE, "type", *BOX_COLS).unionByName(discarded.select(*PAGE, "type", *BOX_COLS)).where(~F.col("type").isin(NO_TEXT))
+    pairs = meeting_pairs(text.select(*SPAN, *BOX_COLS), targets.drop("type"), g.overlap_of_first(A, B) > 0.5)
+    homed = pairs.select(*(F.col(f"a.{k}").alias(k) for k in SPAN)).distinct().withColumn("homed", F.lit(True))
+    # Written, as the ranks are read by the search for characters, by the lines and by the result.
+    text = materialize(rank_spans(text.join(homed, SPAN, "left")), "text-spans")
+    flat, tall = text.where("homed and not vertical"), text.where("homed and vertical")
+    filled = chars_to_text(fill_chars(chars, flat)).select(*SPAN_ORD, F.col("content").alias("filled"))
+    found = F.coalesce("filled", F.lit(""))
+    late = needs_late_recognition(found, g.box())
+    flat = flat.join(filled, SPAN_ORD, "left").withColumn("late", late).withColumns({
+        "content": F.when(F.col("late"), "").otherwise(found), "score": F.when(F.col("late"), 1.0).otherwise(F.col("score"))})
+    tall = tall.drop("content").join(fill_vertical_spans(lines, tall).where("content <> ''"), SPAN)
+    out = flat.select(*spans.columns, "late")
+    for rest in (tall, text.where("homed is null"), spans.where("type <> 'text'")):
+        out = out.unionByName(rest.select(*spans.columns, F.lit(False).alias("late")))
+    return out
+
+
+def apply_recognition(spans: DataFrame, found: DataFrame, least: float = 0.5) -> DataFrame:
+    """``late`` spans with the recognised text of ``found`` (page, span_id, text, score) if its score is above ``least``; else they
+    stay empty with score 0."""
+    late = spans.where("late").drop("content", "score").join(found.select(*SPAN, "text", F.col("score").alias("sure")), SPAN, "left")
+    sure = F.coalesce(F.col("sure") > least, F.lit(False)) & F.col("text").isNotNull()
+    late = late.withColumns({"content": F.when(sure, F.col("text")).otherwise(""), "score": F.when(sure, F.round("sure", 3)).otherwise(0.0)})
+    return spans.where(~F.col("late")).unionByName(late.select(*spans.columns))
+
+
 # ---- lines
 
 
