@@ -14,7 +14,7 @@ from ..fixtures import BASE_TABLES, FIXTURES, oracle
 from ..session import materialize, tune
 
 MODULES = (
-    "geometry", "detections", "blocks", "spans", "ordering", "paragraphs", "tables", "rendering",
+    "geometry", "detections", "blocks", "spans", "ordering", "paragraphs", "layouts", "tables", "rendering",
     "texts", "documents", "tasks", "files",
 )
 

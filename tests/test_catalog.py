@@ -15,6 +15,7 @@ CHECKED = [
     "J14_low_confidence_spans", "J16_fill_spans_in_blocks", "J18_text_to_predicted_cells", "J24_cut_text_at_formulas", "J26_filter_nested_tables", "J32_relink_images",
     "W1_spans_to_lines", "W7_paragraph_merge", "W9_footnote_contiguity", "W17_otsl_cells", "W18_otsl_to_html", "W22_common_header_rows", "W23_merge_tables_over_pages",
     "W25_heading_levels", "AG1_text_or_scanned", "AG7_list_and_index_blocks", "AG10_image_groups", "AG19_document_markdown", "AG20_one_array_per_page", "AG22_token_collapse",
+    "J17_text_layer", "FN23_detections_to_content_list", "SC7_detections_to_middle",
     "FN12_clean_formulas", "FN23_content_list", "SC5_read_page_results", "ST4_reset_stale_tasks", "UF3_table_html_to_cells",
 ]
 

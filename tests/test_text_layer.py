@@ -9,7 +9,7 @@ from pageloom.operators import spans as SP
 from pageloom.plans.markdown import layout_content_list, layout_markdown, layout_middle
 from pageloom.plans.pages import TextLayer, page_layout
 from pageloom.sources import files, sinks
-from tests.test_layout_markdown import FORMULA, IMAGE, IMAGE_CAPTION, SCHEMA, TABLE, TEXT, TITLE, WORDS
+from test_layout_markdown import FORMULA, IMAGE, IMAGE_CAPTION, SCHEMA, TABLE, TEXT, TITLE, WORDS
 
 ABANDON = 2
 CHARS = "doc_id bigint, page_idx bigint, char_id bigint, i bigint, ch string, x0 double, y0 double, x1 double, y1 double, rotation double"
