@@ -147,18 +147,24 @@ def points_to_box(points: Column) -> g.Box:
     return g.Box(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed a single time, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def clockwise(points: Column) -> Column:
     """PF26: top left, top right, bottom right, bottom left."""
-    by_x = F.array_sort(points)
-
     def upper(p, q):
         return F.when(p["y"] <= q["y"], p).otherwise(q)
 
     def lower(p, q):
         return F.when(p["y"] <= q["y"], q).otherwise(p)
 
-    l0, l1, r0, r1 = (by_x[i] for i in range(4))
-    return F.array(upper(l0, l1), upper(r0, r1), lower(r0, r1), lower(l0, l1))
+    def dealt(by_x):
+        l0, l1, r0, r1 = (by_x[i] for i in range(4))
+        return F.array(upper(l0, l1), upper(r0, r1), lower(r0, r1), lower(l0, l1))
+
+    return _once(F.array_sort(points), dealt)
 
 
 def clip_and_filter_points(df: DataFrame, img_w: Column, img_h: Column) -> DataFrame:
@@ -167,13 +173,15 @@ def clip_and_filter_points(df: DataFrame, img_w: Column, img_h: Column) -> DataF
         return truncate(F.least(F.greatest(v, F.lit(0.0)), (size - 1).cast("double"))).cast("double")
 
     inside = F.transform(clockwise(F.col("points")), lambda p: F.struct(clip(p["x"], img_w).alias("x"), clip(p["y"], img_h).alias("y")))
-    out = df.withColumn("points", inside)
 
-    def side(i: int, j: int) -> Column:
-        p, q = F.col("points")[i], F.col("points")[j]
-        return F.floor(F.sqrt((p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"])))
+    def long_sides(points: Column) -> Column:
+        def side(i: int, j: int) -> Column:
+            p, q = points[i], points[j]
+            return F.floor(F.sqrt((p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"])))
+
+        return (side(0, 1) > 3) & (side(0, 3) > 3)
 
-    return out.where((side(0, 1) > 3) & (side(0, 3) > 3))
+    return df.withColumn("points", inside).where(_once(F.col("points"), long_sides))
 
 
 def padded_bounds(points: Column, img_w: Column, img_h: Column) -> g.Box:

@@ -51,3 +51,8 @@ def test_detections_are_shuffled_once_without_boxes(spark, monkeypatch):
     monkeypatch.setattr(catalog, "_WRITTEN", {})
     text = catalog.Tables(spark, SF, write=False).fixture("dets")._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1 and "Union" not in text
+
+
+def test_corners_are_sorted_once_or_twice_a_row(spark):
+    text = catalog.load()["PF26_clip_points"].run(catalog.Tables(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= text.count("array_sort") <= 2
