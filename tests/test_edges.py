@@ -1,5 +1,7 @@
 """Boundary rows: equal, empty and touching boxes, pages without rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +50,38 @@ def test_each_meeting_pair_once(spark):
     assert got == [(0, 1), (0, 2), (0, 3), (0, 4), (1, 2)]
 
 
+def test_pairs_by_the_centre(spark):
+    """A box that must lie by over half in another is in one cell; none of its pairs is lost, and each comes once."""
+    rnd = random.Random(3)
+    made = [(1, 0, k, x, y, x + rnd.randrange(700), y + rnd.randrange(400)) for k in range(400) for x, y in [(rnd.randrange(-900, 900), rnd.randrange(-900, 900))]]
+    df = spark.createDataFrame(made, "doc_id bigint, page_idx bigint, id bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint")
+    a, b = g.box("a"), g.box("b")
+    over_half = (F.col("a.id") != F.col("b.id")) & (g.overlap_of_first(a, b) > 0.5)
+    want = sorted(map(tuple, df.alias("a").join(df.alias("b"), over_half).select("a.id", "b.id").collect()))
+    got = meeting_pairs(df, df, over_half, centred=True).select("a.id", "b.id")
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 100
+    wide = (F.col("a.id") != F.col("b.id")) & (g.x_projection_overlap(a, b) >= 0.8)
+    bands = D.band_pairs(df, df, "x", centred=True).where(wide)
+    assert bands.count() == df.alias("a").join(df.alias("b"), wide).count()
+
+
+def test_conflicts_together_are_those_in_turn(spark, rows):
+    """J7, J8 and J9 in one go: an equation that goes under J8 removes no text."""
+    rnd = random.Random(4)
+    kinds = ["title", "text", "interline_equation", "image_body"]
+    made = []
+    for k in range(300):
+        x, y, page = rnd.randrange(5) * 100, rnd.randrange(6) * 60, rnd.randrange(4)
+        made.append((1, page, k, rnd.choice(kinds), x, y, x + 90 + rnd.randrange(9), y + 40 + rnd.randrange(4)))
+    made += [(1, 0, 900, "interline_equation", 0, 1000, 100, 1100), (1, 0, 901, "text", 10, 1000, 110, 1100)]
+    cols = "doc_id bigint, page_idx bigint, block_id bigint, type string, x0 bigint, y0 bigint, x1 bigint, y1 bigint"
+    blocks = spark.createDataFrame(made, cols)
+    discarded = spark.createDataFrame([(1, page, 1000 + k, "discarded", x, 0, x + 95, 160) for page in range(4) for k, x in enumerate((100, 300))] + [(1, 0, 1002, "discarded", 0, 1000, 65, 1100)], cols)
+    in_turn = B.drop_text_under_equations(B.drop_blocks_on_discarded(B.drop_titles_under_text(blocks), discarded))
+    found = rows(B.drop_conflicts(blocks, discarded), "block_id")
+    assert found == rows(in_turn, "block_id") and (901,) in found and len(found) < 290
+
+
 def test_running_values_over_pages(spark):
     df = spark.createDataFrame([(1, p, p * 10 + k, k) for p in (0, 1, 3) for k in range(3)], "doc_id bigint, page_idx bigint, block_id bigint, v bigint")
     out = runs.previous(runs.running_sum(df, F.lit(1), "n", "block_id"), ["block_id"], "prev", "block_id").orderBy("block_id").collect()
