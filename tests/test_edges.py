@@ -10,6 +10,8 @@ from pageloom.operators import blocks as B
 from pageloom.operators import detections as D
 from pageloom.operators import paragraphs as P
 from pageloom.operators import runs
+from pageloom.operators import spans as S
+from pageloom.operators import tables as TB
 from pageloom.operators.pairs import meeting_pairs
 
 BOX = "doc_id bigint, page_idx bigint, det_id bigint, category_id bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint, score double"
@@ -82,6 +84,25 @@ def test_conflicts_together_are_those_in_turn(spark, rows):
     assert found == rows(in_turn, "block_id") and (901,) in found and len(found) < 290
 
 
+def test_tables_on_each_other_are_many_tasks(spark):
+    """Few rows that meet often are not joined in one task."""
+    made = [(t, k, k % 20 * 60, k // 20 * 20, k % 20 * 60 + 50, k // 20 * 20 + 15) for t in range(20) for k in range(200)]
+    cells = spark.createDataFrame(made, "table_id bigint, cell_no bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint")
+    texts = cells.withColumnRenamed("cell_no", "text_id")
+    found = TB.match_text_to_ruled_cells(texts, cells)
+    assert found.count() == 4000 and found.where("text_id <> cell_no").count() == 0
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_ranges_less_masks_in_one_pass(spark):
+    """What lies before, between and behind masks, and ranges without any; the masks are merged once."""
+    ranges = spark.createDataFrame([(k, 10, 50) for k in range(6)], "k long, start long, end long")
+    masks = spark.createDataFrame([(0, 20, 25), (0, 24, 30), (0, 40, 41), (1, 0, 60), (2, 0, 9), (3, 50, 70), (4, 10, 10)], "k long, lo long, hi long")
+    out = S.subtract_intervals(ranges, masks, ["k"])
+    assert sorted(map(tuple, out.collect())) == [(0, 10, 19), (0, 31, 39), (0, 42, 50), (2, 10, 50), (3, 10, 49), (4, 11, 50), (5, 10, 50)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Window [") <= 3
+
+
 def test_running_values_over_pages(spark):
     df = spark.createDataFrame([(1, p, p * 10 + k, k) for p in (0, 1, 3) for k in range(3)], "doc_id bigint, page_idx bigint, block_id bigint, v bigint")
     out = runs.previous(runs.running_sum(df, F.lit(1), "n", "block_id"), ["block_id"], "prev", "block_id").orderBy("block_id").collect()
