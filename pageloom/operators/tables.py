@@ -33,7 +33,7 @@ def match_text_to_predicted_cells(texts: DataFrame, cells: DataFrame) -> DataFra
     top = cells.groupBy(*TABLE).agg(F.min("y0").alias("top"))
     below = texts.join(top, TABLE).where(F.col("y1") >= F.col("top")).drop("top")
     pairs = meeting_pairs(below.select(*TABLE, "text_id", *BOX_COLS), cells.select(*TABLE, "cell_no", *BOX_COLS),
-                          F.lit(1.0) - g.structure_iou(A, B) < F.lit(1.0) - F.lit(0.1 ** 8), TABLE)
+                          F.lit(1.0) - g.structure_iou(A, B) < F.lit(1.0) - F.lit(0.1 ** 8), TABLE, spread=True)
     rank = F.struct((F.lit(1.0) - g.structure_iou(A, B)).alias("miss"), g.structure_distance(A, B).alias("dist"), F.col("b.cell_no").alias("cell_no"))
     return (
         pairs.groupBy(F.col("a.table_id").alias("table_id"), F.col("a.text_id").alias("text_id")).agg(F.min(rank).alias("best"))
@@ -45,7 +45,7 @@ def match_text_to_ruled_cells(texts: DataFrame, cells: DataFrame) -> DataFrame:
     IoU above 0.8; a text may go to several cells."""
     fits = (g.box_contained(A, B, 0.6) == 1) | (g.table_iou(A, B) > 0.8)
     pairs = meeting_pairs(texts.select(*TABLE, "text_id", *BOX_COLS), cells.select(*TABLE, "cell_no", *BOX_COLS),
-                          F.coalesce(fits, F.lit(False)), TABLE)
+                          F.coalesce(fits, F.lit(False)), TABLE, spread=True)
     return pairs.select(F.col("a.table_id").alias("table_id"), F.col("a.text_id").alias("text_id"), F.col("b.cell_no").alias("cell_no"))
 
 
