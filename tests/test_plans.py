@@ -44,3 +44,14 @@ def test_page_range_reaches_the_scan(spark):
 def test_lines_of_a_block_need_one_exchange(spark):
     text = plan(catalog.load()["AG7_list_and_index_blocks"].run(catalog.Tables(spark, SF)))
     assert text.split("===")[0].count("Exchange") <= 2
+
+
+def test_compressed_tables_are_not_broadcast_by_the_size_of_their_files(spark):
+    from pyspark.sql import functions as F
+
+    from pageloom.session import materialize, tune
+
+    tune(spark)
+    rows = materialize(spark.range(300_000).select("id", *(F.floor(F.col("id") / 40).alias(c) for c in "abcdefgh")), "rows")
+    plan = rows.join(rows.select("id", F.col("a").alias("z")), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
