@@ -62,3 +62,24 @@ def test_stream_and_batch_agree(spark):
     last = stream.where("legal").groupBy("task_id").agg(F.max_by("status", F.struct("ts", "event_id")).alias("status"))
     batch = T.task_states(t.task_events).select("task_id", "status")
     assert last.exceptAll(batch).isEmpty() and batch.exceptAll(last).isEmpty()
+
+
+def test_tasks_share_states_over_batches(spark, tmp_path):
+    import os
+    from datetime import datetime
+
+    schema = "task_id bigint, ts timestamp, event_id bigint, status string, worker string"
+    big = 1 << 60
+    steps = [[("pending", "a"), ("processing", "w")], [("completed", "x"), ("completed", "w"), ("cancelled", "w")]]
+    for day, part in enumerate(steps):
+        data = [(None if k == 50 else big + k, datetime(2024, 1, 1 + day, 1, n), n, s, w) for k in range(51) for n, (s, w) in enumerate(part)]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "events"))
+        for f in (tmp_path / "events").glob("*.parquet"):
+            os.utime(f, (f.stat().st_mtime - 100,) * 2)  # the first one is older
+    events = ST.read_folder(spark, str(tmp_path / "events"), spark.createDataFrame([], schema), maxFilesPerTrigger="1")
+    out = ST.run_to_table(ST.task_transitions(events, buckets=4), "shared")
+    got = {(r.task_id, r.status, r.worker): r.legal for r in out.collect()}
+    tasks = [*range(big, big + 50), None]
+    assert got == {(t, s, w): (s, w) not in (("completed", "x"), ("cancelled", "w")) for t in tasks for part in steps for s, w in part}
+    base = os.path.dirname(os.path.dirname(out.inputFiles()[0]))
+    assert spark.read.format("statestore").load(f"{base}/progress").count() <= 5
