@@ -166,3 +166,25 @@ def test_rounding_of_binary_values(spark):
     values = [rnd.random() for _ in range(3000)] + [k / 2000 for k in range(2001)]
     got = spark.createDataFrame([(v,) for v in values], "v double").select("v", g.round_exact(F.col("v"), 3).alias("r")).collect()
     assert [r.r for r in got] == [round(r.v, 3) for r in got]
+
+
+def test_paragraphs_over_pages_are_joined_as_whole_ones(spark):
+    """Texts joined page by page are those of paragraphs joined as one: hyphens, scripts and list items at page ends."""
+    from pageloom.plans.markdown import document_paragraphs
+
+    ends = ["exam-", "ple of a line", "中文行一中文行", "Anglo-", "saxon 1", "- item;", "ｌower", "Title"]
+    rows = []
+    for doc in range(6):
+        for n in range(40):
+            page, text = n // 5, ends[(n * (doc + 3) + n // 7) % len(ends)]
+            kind = "title" if text == "Title" and doc % 2 else "text"
+            wide = 530 if (n + doc) % 3 else 300
+            rows.append((doc, page, page * 5 if kind == "text" else n, n, 50, 60 + 16 * (n % 5), wide, 72 + 16 * (n % 5), f"{'lower ' if n % 2 else ''}{text}", kind))
+    lines = spark.createDataFrame(rows, "doc_id bigint, page_idx bigint, block_id bigint, line_no bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint, txt string, type string")
+    lines = lines.withColumn("block_id", F.when(F.col("type") == "text", F.col("page_idx") * 1000).otherwise(F.col("page_idx") * 1000 + 1 + F.col("block_id")))
+    tagged = P.classify_blocks(lines, F.lit(612))
+    paras = P.paragraphs(P.block_facts(tagged))
+    want = {(r.doc_id, r.page_idx, r.block_id, r.kind, r.text) for r in P.paragraph_texts(tagged, paras).collect()}
+    got = {(r.doc_id, r.page_idx, r.block_id, r.kind, r.text) for r in document_paragraphs(lines, F.lit(612)).collect()}
+    assert {r for r in got if r[3] != "title"} == want
+    assert any(r.cross_page for r in paras.collect()) and sum(r[3] == "title" for r in got) == sum(r[9] == "title" for r in rows)

@@ -55,3 +55,36 @@ def test_compressed_tables_are_not_broadcast_by_the_size_of_their_files(spark):
     rows = materialize(spark.range(300_000).select("id", *(F.floor(F.col("id") / 40).alias(c) for c in "abcdefgh")), "rows")
     plan = rows.join(rows.select("id", F.col("a").alias("z")), "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_lists_and_paragraphs_shuffle_no_text(spark):
+    from pageloom.catalog import Tables
+    from pageloom.catalog.paragraphs import tagged
+    from pageloom.operators import paragraphs as P
+
+    t = Tables(spark, SF)
+    facts = P.block_facts(tagged(t))
+    held, seen = [facts._jdf.queryExecution().executedPlan().initialPlan()], 0
+    while held:
+        node = held.pop()
+        if node.nodeName() == "Exchange":
+            seen += 1
+            assert "txt" not in [node.output().apply(k).name() for k in range(node.output().size())]
+        held += [node.children().apply(k) for k in range(node.children().size())]
+    assert seen
+
+
+def test_steps_of_a_page_are_joined_where_they_lie(spark):
+    from pyspark.sql import functions as F
+
+    from pageloom.operators.pairs import meeting_pairs
+    from pageloom.session import by_page, settings
+
+    boxes = by_page(spark.range(2000).select(
+        (F.col("id") % 7).alias("doc_id"), (F.col("id") % 5).alias("page_idx"), "id", F.col("id").alias("x0"), F.col("id").alias("y0"),
+        (F.col("id") + 3).alias("x1"), (F.col("id") + 3).alias("y1")), "boxes")
+    with settings(spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        pairs = meeting_pairs(boxes, boxes, F.col("a.id") < F.col("b.id"))
+        kept = boxes.join(pairs.select("a.doc_id", "a.page_idx", "a.id").distinct(), ["doc_id", "page_idx", "id"], "left_anti")
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert kept.count() == 2000
