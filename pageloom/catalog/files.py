@@ -85,7 +85,8 @@ def sc7(t):
     span = F.struct(box("x0", "y0", "x1", "y1"), F.lit("text").alias("type"), F.col("txt").alias("content"), none("string", "html"), none("string", "latex"),
                     none("string", "image_path"), F.lit(1.0).alias("score"), none("boolean", "cross_page"))
     line = F.struct("line_no", F.struct(box("x0", "y0", "x1", "y1"), F.array(span).alias("spans"), F.col("line_no").cast("double").alias("index")).alias("l"))
-    blocks = t.lines.groupBy("doc_id", "page_idx", "para_no", "col_no").agg(
+    # Bare lines are shuffled, once: blocks, pages and the document that is one row are made of them where they lie.
+    blocks = t.lines.repartition("doc_id").groupBy("doc_id", "page_idx", "para_no", "col_no").agg(
         F.min("line_no").alias("block_id"), F.min("x0").alias("bx0"), F.min("y0").alias("by0"), F.max("x1").alias("bx1"), F.max("y1").alias("by1"), F.array_sort(F.collect_list(line))["l"].alias("lines"))
     empty = F.array().cast("array<struct<type:string,bbox:array<double>,index:double,lines:array<struct<bbox:array<double>,spans:array<struct<bbox:array<double>,type:string,content:string,html:string,latex:string,image_path:string,score:double,cross_page:boolean>>,index:double>>>>")
     block = F.struct("block_id", F.struct(F.lit("text").alias("type"), box("bx0", "by0", "bx1", "by1"), F.col("block_id").cast("double").alias("index"), "lines", empty.alias("blocks")).alias("b"))

@@ -88,3 +88,12 @@ def test_steps_of_a_page_are_joined_where_they_lie(spark):
         kept = boxes.join(pairs.select("a.doc_id", "a.page_idx", "a.id").distinct(), ["doc_id", "page_idx", "id"], "left_anti")
         assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
         assert kept.count() == 2000
+
+
+def test_middle_documents_shuffle_lines_once(spark, monkeypatch):
+    from pageloom.sources import sinks
+
+    held, write = [], sinks.write_middle
+    monkeypatch.setattr(sinks, "write_middle", lambda docs, folder: (held.append(docs), write(docs, folder)))
+    catalog.load()["SC7_middle_json"].run(catalog.Tables(spark, SF))
+    assert held[0]._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
