@@ -154,40 +154,36 @@ def likely(pairs: DataFrame, marks: DataFrame, p: Params) -> DataFrame:
 def components(links: DataFrame, rounds: int = 100) -> DataFrame:
     """(id, component): the smallest id reachable, for every id in a link. Alternating large-star and small-star.
 
-    A round's edges are written as a table. A node with very many neighbours is not gathered: its smallest neighbour is an
-    aggregate and the edges are joined with it.
+    The tables of a round are written: their sizes are then known, so that small ones are joined without a shuffle. A node with very many
+    neighbours is not gathered: its smallest neighbour is an aggregate and the edges are joined with it.
     """
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter(F.col("u") != F.col("v")).distinct(), "cc-0")
-    before = None
+    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter(F.col("u") != F.col("v")), "cc-0")
     for k in range(rounds):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        near = cut(both.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high")), f"cc-near-{k}")
+        # stars around their smallest node: whoever has a smaller neighbour has no other one
+        if near.filter((F.col("low") < F.col("u")) & (F.col("low") < F.col("high"))).isEmpty():
+            return near.select(F.col("u").alias("id"), F.least("low", "u").alias("component"))
         # large star: neighbours above u hang on u's smallest neighbour
-        large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = near.select("u", F.least("low", "u").alias("m"))
+        large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = cut(large, f"cc-large-{k}")
         # small star: u and its neighbours below hang on the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-                 .filter(F.col("u") != F.col("v")).distinct())
+        small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v")).distinct()
         edges = cut(small, f"cc-small-{k}")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.xxhash64("v", "u") % 999_983)).first()
-        if tuple(now) == before:
-            break
-        before = tuple(now)
-    else:
-        raise RuntimeError("components did not settle")
-    roots = edges.select("v").distinct()
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots.select("v", "v"))
+    raise RuntimeError("components did not settle")
 
 
 def classes(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
-    """(rows, members): every row with its set size and digest; and for each digest its smallest doc_id, bands and bits."""
+    """(rows, members): every row with its set size and digest; and one row for each digest, with its smallest doc_id as ``id``."""
     rows = docs.select("doc_id", text_key("text").alias("key"), sketch("text", p).alias("k")).select("doc_id", "key", "k.*")
     rows = cut(rows, "minhash-rows")
     named = rows.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    firsts = named.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    return rows, cut(firsts, "minhash-classes")
+    # bands and bits follow from the set alone, so those of any row of the class do
+    first = F.min_by(F.struct("doc_id", "key", "n_shingles", "bands", "bits", "signature"), F.struct("doc_id", "key"))
+    firsts = named.groupBy("digest").agg(first.alias("f")).select("digest", F.col("f.doc_id").alias("id"), *(f"f.{c}" for c in ("key", "n_shingles", "bands", "bits", "signature")))
+    return rows, cut(firsts.withColumn("rep", F.monotonically_increasing_id()), "minhash-reps")
 
 
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -198,11 +194,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     ``key`` tells such rows apart, and ``component`` (any number; null where a row takes no part) tells components apart that share
     their smallest doc_id. Of repeated rows with the smallest id all have doc_id = component_id.
     """
-    rows, firsts = classes(docs, p)
-    # one row per class: any row of the class's smallest id has its bands and bits, as they follow from the set alone
-    reps = cut(rows.filter(F.col("digest").isNotNull()).join(firsts, "digest").filter(F.col("doc_id") == F.col("id"))
-               .dropDuplicates(["digest"]).select("digest", "id", "key", "n_shingles", "bands", "bits", "signature")
-               .withColumn("rep", F.monotonically_increasing_id()), "minhash-reps")
+    rows, reps = classes(docs, p)
     marks = reps.select(F.col("rep").alias("id"), "bits", "n_shingles")
     spread = reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "bucket"))
     sizes = spread.groupBy("band", "bucket").agg(F.count("*").alias("n"), F.min("id").alias("least")).filter(F.col("n") > 1)
@@ -213,12 +205,14 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     links = cut(similar(likely(stars, marks, p), texts, p), "minhash-links")
     settled = components(links)
 
+    # what is found in blocks links components as a whole, so only these are settled again
     more = cut(_blockwise(shared, settled, reps, texts, p), "minhash-more")
-    if not more.isEmpty():
-        settled = components(links.union(more))
-
     rooted = reps.select("digest", F.col("rep").alias("id"), F.col("id").alias("first")).join(settled, "id", "left")
-    rooted = cut(rooted.withColumn("component", F.coalesce("component", "id")), "minhash-rooted")
+    rooted = rooted.withColumn("component", F.coalesce("component", "id"))
+    if not more.isEmpty():
+        merged = components(more).toDF("component", "_merged")
+        rooted = rooted.join(merged, "component", "left").withColumn("component", F.coalesce("_merged", "component")).drop("_merged")
+    rooted = cut(rooted, "minhash-rooted")
     # written, so that the join sees its size and can split a component that has very many members
     smallest = cut(rooted.groupBy("component").agg(F.min("first").alias("component_id")), "minhash-smallest")
     named = rooted.join(smallest, "component").select("digest", "component", "component_id")
@@ -228,7 +222,10 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def _blockwise(shared: DataFrame, settled: DataFrame, reps: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
-    """Links (a, b) between members of a bucket that the stars left in different components; one for two components of a block pair."""
+    """Pairs (a, b) of components linked by members of a bucket that the stars left apart; one for two components of a block pair.
+
+    Small tables that are met more than once are written, so that they are joined without a shuffle.
+    """
     placed = shared.join(settled, "id", "left").withColumn("component", F.coalesce("component", "id"))
     by_part = placed.groupBy("band", "bucket", "component").agg(F.count("*").alias("c"))
     largest = (by_part.groupBy("band", "bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("c", "component")).alias("major"))
@@ -236,24 +233,24 @@ def _blockwise(shared: DataFrame, settled: DataFrame, reps: DataFrame, texts: Da
     left = cut(placed.join(cut(largest, "minhash-major"), ["band", "bucket"]).select("band", "bucket", "id", "component", "major", "least"), "minhash-open")
 
     # those that met the same smallest member go together, split by hash where they are many
-    met = left.groupBy("id").agg(F.min("least").alias("anchor"), F.max("component").alias("component"))
+    met = cut(left.groupBy("id").agg(F.min("least").alias("anchor"), F.max("component").alias("component")), "minhash-met")
     met = met.join(reps.select(F.col("rep").alias("id"), "n_shingles", "signature"), "id")
-    sizes = met.groupBy("anchor").agg(F.ceil(F.sum("n_shingles") / p.block).alias("splits"))
+    sizes = cut(met.groupBy("anchor").agg(F.ceil(F.sum("n_shingles") / p.block).alias("splits")), "minhash-splits")
     block = F.xxhash64("anchor", F.pmod(F.xxhash64("id"), F.col("splits")))
     blocked = cut(met.join(sizes, "anchor").select("id", "component", "signature", block.alias("block")), "minhash-blocks")
 
-    touched = (left.join(blocked.select("id", "block"), "id").groupBy("band", "bucket", "block")
-               .agg(F.max(F.col("component") != F.col("major")).alias("minor")))
+    touched = cut(left.join(blocked.select("id", "block"), "id").groupBy("band", "bucket", "block")
+                  .agg(F.max(F.col("component") != F.col("major")).alias("minor")), "minhash-touched")
     one = touched.select("band", "bucket", F.col("block").alias("x"), F.col("minor").alias("mx"))
     two = touched.select("band", "bucket", F.col("block").alias("y"), F.col("minor").alias("my"))
     meet = (one.join(two, ["band", "bucket"]).filter((F.col("x") <= F.col("y")) & (F.col("mx") | F.col("my"))).select("x", "y").distinct())
 
-    marks = blocked.groupBy("block").agg(F.collect_list(F.struct("component", "signature")).alias("c"))
+    marks = cut(blocked.groupBy("block").agg(F.collect_list(F.struct("component", "signature")).alias("c")), "minhash-block-marks")
     maybe = cut(_block_pairs(meet, marks).filter(_any_likely(p)("cx", "cy")).select("x", "y"), "minhash-likely-blocks")
     used = maybe.select(F.col("x").alias("block")).union(maybe.select("y")).distinct()
     sets = (blocked.drop("signature").join(used, "block", "left_semi").join(texts, "id").withColumn("s", _packed_set(p)("text"))
-            .groupBy("block").agg(F.collect_list(F.struct("id", "component", "s")).alias("c")))
-    return _block_pairs(maybe, cut(sets, "minhash-block-sets")).select(F.explode(_block_links(p)("cx", "cy")).alias("l")).select("l.a", "l.b").distinct()
+            .groupBy("block").agg(F.collect_list(F.struct("component", "s")).alias("c")))
+    return _block_pairs(maybe, cut(sets, "minhash-block-sets")).select(F.explode(_block_links(p)("cx", "cy")).alias("l")).select("l.a", "l.b")
 
 
 def _block_pairs(pairs: DataFrame, content: DataFrame) -> DataFrame:
@@ -296,7 +293,7 @@ def _block_links(p: Params):
 
 
 def _links_between(x: list[dict], y: list[dict], percent: int) -> list[tuple[int, int]]:
-    """Exact comparison of two blocks: sizes of all intersections as a product of membership matrices over the shared shingles."""
+    """Components linked by an exact comparison of two blocks: sizes of all intersections as a product of membership matrices over the shared shingles."""
     sets = [[np.frombuffer(r["s"], np.uint64) for r in z] for z in (x, y)]
     sizes = [np.array([len(s) for s in z], np.int64) for z in sets]
     flat = [np.concatenate(z) for z in sets]
@@ -310,15 +307,11 @@ def _links_between(x: list[dict], y: list[dict], percent: int) -> list[tuple[int
         members.append(matrix)
     both = (members[0] @ members[1].T).round().astype(np.int64)
     found = (both > 0) & (100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both))
-    links = {}
-    for i, j in zip(*np.nonzero(found)):
-        if x[i]["component"] != y[j]["component"]:
-            parts = tuple(sorted((x[i]["component"], y[j]["component"])))
-            links.setdefault(parts, tuple(sorted((x[i]["id"], y[j]["id"]))))
-    return list(links.values())
+    pairs = {tuple(sorted((x[i]["component"], y[j]["component"]))) for i, j in zip(*np.nonzero(found))}
+    return sorted((a, b) for a, b in pairs if a != b)
 
 
 def _texts(docs: DataFrame, reps: DataFrame, shared: DataFrame) -> DataFrame:
     """(id, text) of the representatives that share a bucket."""
-    wanted = reps.select(F.col("rep").alias("id"), F.col("id").alias("doc_id"), "key").join(shared.select("id").distinct(), "id", "left_semi")
+    wanted = reps.select(F.col("rep").alias("id"), F.col("id").alias("doc_id"), "key").join(shared.select("id"), "id", "left_semi")
     return docs.select("doc_id", "text", text_key("text").alias("key")).join(wanted, ["doc_id", "key"]).select("id", "text").dropDuplicates(["id"])

@@ -1,5 +1,6 @@
 import random
 
+from pageloom.llm import minhash
 from pageloom.llm.minhash import Params, components, near_duplicates
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -77,6 +78,34 @@ def test_components_of_long_paths(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_components_take_few_tables(spark, monkeypatch):
+    """A table costs a job with a file for each shuffle partition, however few its rows."""
+    written = []
+    monkeypatch.setattr(minhash, "cut", lambda df, name, cut=minhash.cut: written.append(name) or cut(df, name))
+    stars = spark.createDataFrame([(k % 3, 10 + k) for k in range(30)] + [(0, 10)], "a long, b long")
+    assert {(r.id, r.component) for r in components(stars).collect()} == {(10 + k, k % 3) for k in range(30)} | {(k, k) for k in range(3)}
+    assert len(written) == 2
+    written.clear()
+    assert components(spark.createDataFrame([(0, 5), (2, 5), (2, 7)], "a long, b long")).filter("component = 0").count() == 4
+    assert len(written) <= 8
+
+
+def test_links_of_blocks_join_components_as_a_whole(documents, prose, monkeypatch):
+    """What blocks find is settled over components, not over all links again."""
+    sizes = []
+    monkeypatch.setattr(minhash, "components", lambda links, settle=minhash.components: sizes.append(links.count()) or settle(links))
+    base, r = prose(7, 120).split(), random.Random(1)
+    pairs = []
+    for k in range(150):  # all share half; groups of copies with few changes are near to each other by their borders only
+        words = base[:]
+        for at in r.sample(range(120), 2 + k % 5):
+            words[at] = f"new{k}x{at}"
+        pairs.append((k, " ".join(words)))
+    got = near_duplicates(documents(pairs))
+    assert {(x.doc_id, x.n_shingles, x.component_id) for x in got.collect()} == plain(pairs)
+    assert len(sizes) == 1 or sizes[1] < sizes[0]
+
+
 def test_bands_miss_hardly_any_link():
     p = Params()
     assert (1 - 0.75**p.rows) ** p.bands < 1e-4
