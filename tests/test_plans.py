@@ -46,6 +46,18 @@ def test_lines_of_a_block_need_one_exchange(spark):
     assert text.split("===")[0].count("Exchange") <= 2
 
 
+def test_lines_of_a_block_are_sorted_once(spark):
+    text = plan(catalog.load()["AG7_list_and_index_blocks"].run(catalog.Tables(spark, SF)))
+    assert text.split("\n\n")[0].count("Sort") == 1
+
+
+def test_lines_meet_their_texts_once(spark):
+    """Paragraphs that reach over pages come of the same pass as all others."""
+    text = plan(catalog.load()["W20_line_join"].run(catalog.Tables(spark, SF)))
+    tree = text.split("\n\n")[0]
+    assert "Union" not in tree and tree.count("Generate") == 1
+
+
 def test_compressed_tables_are_not_broadcast_by_the_size_of_their_files(spark):
     from pyspark.sql import functions as F
 

@@ -59,3 +59,31 @@ def test_names(spark):
 
 def test_cjk(spark):
     assert one(spark, X.is_cjk, "hello", "漢字かな", "", "漢 abcdefghij") == [False, True, False, False]
+
+
+ODD = ["", " ", "a", "1", " 1a2 ", "a1\n", "a1\r\n", "1\r\n\n", "\u0660x\u0661", "\u00a0a\u00a0", "a\u00a0 ", " \u3000漢字かなカナ한글ᄀ\u3000", "\U00020000\U0001F600\u2e80", "Ａｂ１！ｚ",
+       "\tA\x0b\x0c b\x1c", "\x1fé ", "éa", "É", "\U0001D400x", "\U0001D41Ax", "ﾊﾝ ﾡ\u10ff\u1100", "é\u2028", "1\u2028", "a\x851\x85", None]
+
+
+def test_short_ways_equal_the_patterns(spark):
+    """Texts are first looked at in cheap ways; what comes out is what the patterns say of the whole text."""
+    from pageloom.operators.paragraphs import line_marks, span_marks
+
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(ODD)], "k int, txt string")
+    t, trimmed = F.col("txt"), F.trim("txt")
+    cjk = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]"
+    letters = "".join(c for c in map(chr, range(0x21, 0x7F)) if c.isalnum())
+    pairs = {
+        "strip": (X.strip(t), F.regexp_replace(t, r"(?U)^\s+|\s+\z", "")),
+        "half": (X.full_to_half_letters(t), F.translate(t, "".join(chr(ord(c) + X.FULL_WIDTH_OFFSET) for c in letters), letters)),
+        "cjk": (X.count_cjk(t), F.regexp_count(t, F.lit(cjk))),
+        "solid": (X.count_solid(t), F.length(F.regexp_replace(t, X.BLANK, ""))),
+        "digit_first": (F.col("marks.digit_first"), trimmed.rlike(r"^\p{Nd}")),
+        "digit_last": (F.col("marks.digit_last"), trimmed.rlike(r"\p{Nd}$")),
+        "opens_new": (F.col("marks.opens_new"), t.rlike(r"^[\p{Nd}\p{Lu}]")),
+        "lower": (F.col("marks.lower"), F.coalesce(t.rlike(r"^\p{Ll}"), F.lit(False))),
+        "span_lower": (span_marks(F.lit("text"), t)["lower"], F.coalesce(t.rlike(r"^\p{Ll}"), F.lit(False))),
+    }
+    for r in line_marks(df).select("txt", *(F.array(a, b).alias(k) for k, (a, b) in pairs.items())).collect():
+        for k in pairs:
+            assert r[k][0] == r[k][1], (k, r.txt, r[k])
