@@ -58,6 +58,13 @@ def test_lines_meet_their_texts_once(spark):
     assert "Union" not in tree and tree.count("Generate") == 1
 
 
+def test_texts_of_a_document_are_shuffled_once(spark):
+    """By page as lines and by document as paragraphs; what pages and paragraphs ask of lines goes without texts."""
+    tree = plan(catalog.load()["AG19_document_markdown"].run(catalog.Tables(spark, SF))).split("\n\n")[0]
+    top = tree[:tree.index("Join")]
+    assert top.count("Exchange") == 1
+
+
 def test_compressed_tables_are_not_broadcast_by_the_size_of_their_files(spark):
     from pyspark.sql import functions as F
 
