@@ -80,5 +80,6 @@ def test_spans_of_the_text_layer_are_dealt_once(spark, monkeypatch):
     found = {r.span_id: (r.content, r.late) for r in spans.fill_text_layer(sp, ch, lines, box, box.where("false")).collect()}
     assert found == {0: ("xxxxxxxxx", False), 1: ("", True), 2: ("old", False)}
     assert [name for name, _ in seen] == ["spans", "text-spans"]
+    assert all("content" not in df.columns for _, df in seen)
     # of the second table only the keys of spans in a block are shuffled, beside the copies that meet in a cell
     assert seen[1][1]._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(doc_id#") <= 3
